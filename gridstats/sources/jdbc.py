@@ -1,0 +1,42 @@
+"""Layer tables in a relational database, for those who keep them there.
+
+Needs a driver on Spark's class path. Reads are split by season, so that no
+single task fetches the table, and writes go out from every partition.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def season_predicates(seasons: Iterable[int]) -> list[str]:
+    """One disjoint slice per season, and one for rows without a usable season."""
+    years = sorted({int(s) for s in seasons})
+    listed = ", ".join(str(y) for y in years)
+    return [f"season = {y}" for y in years] + [
+        f"season IS NULL OR season NOT IN ({listed})"]
+
+
+def _quoted(columns: Sequence[str]) -> str:
+    return ", ".join('"' + c.replace('"', '""') + '"' for c in columns)
+
+
+def select_query(table: str, columns: Sequence[str], *, distinct: bool = False) -> str:
+    """A derived table that leaves column choice and DISTINCT to the database."""
+    return f"(SELECT {'DISTINCT ' if distinct else ''}{_quoted(columns)} FROM {table}) AS t"
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, *, seasons: Iterable[int],
+              columns: Sequence[str] | None = None,
+              properties: Mapping[str, str] | None = None) -> DataFrame:
+    source = table if columns is None else select_query(table, columns)
+    return spark.read.jdbc(url, source, predicates=season_predicates(seasons),
+                           properties=dict(properties or {}))
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str,
+               properties: Mapping[str, str] | None = None) -> None:
+    """``append`` for bronze, ``overwrite`` for silver and gold."""
+    df.write.jdbc(url, table, mode=mode, properties=dict(properties or {}))
