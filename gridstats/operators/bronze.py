@@ -55,12 +55,11 @@ def clean(plays: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
     ``coalesce`` rather than ``fillna``: the latter would also overwrite NaN.
     """
     lineage = [c for c in (S.PLAYER, S.INGEST_SEQ) if c in plays.columns]
-    fills = ({c: F.lit(0.0) for c in S.FILL_WITH_ZERO_FLOAT}
-             | {c: F.lit(0) for c in S.FILL_WITH_ZERO_INT}
-             | {"td_player_name": F.lit(S.FILL_TD_PLAYER)})
-    return plays.select(
+    fills = ({c: "0.0D" for c in S.FILL_WITH_ZERO_FLOAT}
+             | {c: "0" for c in S.FILL_WITH_ZERO_INT}
+             | {"td_player_name": f"'{S.FILL_TD_PLAYER}'"})
+    filled = plays.selectExpr(
         *lineage,
-        *[F.coalesce(F.col(c), fills[c]).alias(c) if c in fills else F.col(c)
-          for c in S.PLAY_COLUMNS],
-        timestamp_column(loaded_at).alias(S.BRONZE_LOADED_AT),
-    )
+        *[f"coalesce({c}, {fills[c]}) AS {c}" if c in fills else f"`{c}`"
+          for c in S.PLAY_COLUMNS])
+    return filled.withColumn(S.BRONZE_LOADED_AT, timestamp_column(loaded_at))

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridstats import schema as S
 from gridstats.functions import football as fb
@@ -15,8 +14,9 @@ from gridstats.operators.bronze import timestamp_column
 
 def enforce_schema(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns that are present; what does not fit becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast(t)
-                           for c, t in types.items() if c in df.columns})
+    return df.selectExpr(*[
+        f"try_cast(`{c}` AS {types[c]}) AS `{c}`" if c in types else f"`{c}`"
+        for c in df.columns])
 
 
 def rename_columns(df: DataFrame) -> DataFrame:

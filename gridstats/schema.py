@@ -70,7 +70,7 @@ PLAY_COLUMNS = list(PLAY_TYPES)
 CAST_TYPES = {c: t for c, t in PLAY_TYPES.items() if c not in UNCAST}
 
 PLAYER = "player_name"
-PLAY_KEY = ("game_id", "play_id")
+PLAY_KEY = ("play_id", "game_id")
 
 # Source columns that say who passed and who ran; used to select plays only.
 PASSER, RUSHER = "passer_player_name", "rusher_player_name"
@@ -85,5 +85,10 @@ RAW_DDL = ", ".join(f"`{c}` {t}" for c, t in RAW_TYPES.items())
 
 
 def player_key(columns: list[str]) -> list[str]:
-    """Key of a play row: a play belongs once to every player it is kept for."""
-    return ([PLAYER] if PLAYER in columns else []) + list(PLAY_KEY)
+    """Key of a play row: a play belongs once to every player it is kept for.
+
+    Rows are sorted by this key to deduplicate them. The number leads because
+    Spark sorts by the first eight bytes of the leading column before it looks
+    at whole rows, and game ids and names share long prefixes.
+    """
+    return [*PLAY_KEY, *([PLAYER] if PLAYER in columns else [])]

@@ -13,7 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Play rows are wide. Beyond 8000 bytes the JVM leaves a generated method
+    # interpreted; below this limit Spark generates smaller ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

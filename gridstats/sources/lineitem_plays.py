@@ -23,8 +23,8 @@ MAX_PLAY_ID = 2_147_483_647
 _LINE = {
     "season": "year(l_shipdate)",
     "week": "month(l_shipdate)",
-    "disc": "cast(round(l_discount * 100) as int)",
-    "tax": "cast(round(l_tax * 100) as int)",
+    "disc": "cast(rint(l_discount * 100) as int)",
+    "tax": "cast(rint(l_tax * 100) as int)",
     "qty": "cast(l_quantity as int)",
     "p": "l_returnflag <> 'R'",
     "r": "l_returnflag = 'R' and l_linenumber <> 7",
@@ -109,6 +109,10 @@ _PLAY = {
 }
 
 
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{expression} AS `{name}`" for name, expression in expressions.items()]
+
+
 def _within(season: int, date_type: DataType) -> Column:
     """The season as a range over the ship date, which the scan can use."""
     shipped = F.col("l_shipdate")
@@ -132,5 +136,5 @@ def plays_from_lineitem(spark: SparkSession, sf_dir: str,
     players = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name")
     joined = lines.join(players, F.col("l_suppkey") == F.col("s_suppkey"))
     for stage in (_LINE, _KIND, _OUTCOME):
-        joined = joined.withColumns({n: F.expr(e) for n, e in stage.items()})
-    return joined.select(*[F.expr(e).alias(n) for n, e in _PLAY.items()])
+        joined = joined.selectExpr("*", *_named(stage))
+    return joined.selectExpr(*_named(_PLAY))
