@@ -36,7 +36,7 @@ def sf_dir():
 def rows(spark):
     """DataFrame from dictionaries under a DDL schema; absent keys are NULL."""
     def make(ddl: str, *records: dict):
-        names = [column.split()[0] for column in ddl.split(",")]
+        names = [column.split()[0].strip("`") for column in ddl.split(",")]
         return spark.createDataFrame(
             [tuple(record.get(n) for n in names) for record in records], ddl)
     return make

@@ -1,0 +1,52 @@
+import pytest
+
+from gridstats import schema as S
+from gridstats.plans.layers import new_plays
+from gridstats.sources.lineitem_plays import plays_from_lineitem
+from gridstats.sources.tables import read_table
+from gridstats.streaming.ingest import checkpoint_location, ingest_available
+
+
+def finish(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_stream_appends_unseen_plays_of_new_files(spark, sf_dir, tmp_path):
+    source, bronze = str(tmp_path / "source"), str(tmp_path / "bronze")
+    raw = plays_from_lineitem(spark, sf_dir).selectExpr(
+        *[f"cast(`{c}` AS {t}) AS `{c}`" for c, t in S.RAW_TYPES.items()])
+
+    def run():
+        finish(ingest_available(spark, source, bronze, checkpoint=str(tmp_path / "state")))
+        stored = read_table(spark, bronze)
+        return {tuple(r) for r in stored.select(*S.player_key(stored.columns)).collect()}, \
+            stored.count()
+
+    raw.where("season < 1998").write.mode("append").parquet(source)
+    early, n_early = run()
+    raw.where("season >= 1997").write.mode("append").parquet(source)
+    every, n_every = run()
+    again, n_again = run()
+
+    fresh = new_plays(raw)
+    expected = {tuple(r) for r in fresh.select(*S.player_key(fresh.columns)).collect()}
+    assert len(early) == n_early and early < every
+    assert every == again == expected
+    assert n_every == n_again == len(expected)
+
+
+def test_checkpoint_lies_in_the_shared_directory(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_location(spark, "x") == f"{shared}/x"
+    assert checkpoint_location(spark, "x", "/given") == "/given"
+
+
+def test_checkpoint_has_no_local_default(spark):
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_location(Unset, "x")
