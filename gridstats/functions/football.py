@@ -34,10 +34,12 @@ RATING_PARTS, RATING_SCALE, RATING_PLACES = 6.0, 100.0, 1
 # ---------------------------------------------------------------------------
 
 
+# Plays that count as pass attempts in official statistics.
+OFFICIAL_PASS = "sack = 0 AND fumble = 0 AND two_point_conv_result IS NULL"
+
+
 def official_pass() -> Column:
-    """True for plays that count as pass attempts in official statistics."""
-    return ((F.col("sack") == 0) & (F.col("fumble") == 0)
-            & F.col("two_point_conv_result").isNull())
+    return F.expr(OFFICIAL_PASS)
 
 
 def pressure_type() -> Column:

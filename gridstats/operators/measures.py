@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridstats.functions.football import official_pass
+from gridstats.functions.football import OFFICIAL_PASS
 from gridstats.functions.numeric import round_half_even
 
 MEAN_PLACES = 2
 
 
 def total(column: str, alias: str | None = None) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0)).alias(alias or column)
+    return F.expr(f"coalesce(sum({column}), 0) AS {alias or column}")
 
 
 def official(column: str, alias: str | None = None) -> Column:
     """Sum over official pass plays only; an unknown status does not count."""
-    counted = F.sum(F.when(official_pass(), F.col(column)))
-    return F.coalesce(counted, F.lit(0)).alias(alias or column)
+    return F.expr(f"coalesce(sum({column}) FILTER (WHERE {OFFICIAL_PASS}), 0)"
+                  f" AS {alias or column}")
 
 
 def mean(column: str, alias: str | None = None) -> Column:
@@ -27,8 +27,8 @@ def mean(column: str, alias: str | None = None) -> Column:
 
 def dependent(column: str) -> Column:
     """Value of a column that is the same on every row of the group."""
-    return F.min(column).alias(column)
+    return F.expr(f"min({column}) AS {column}")
 
 
 def n_rows(alias: str) -> Column:
-    return F.count(F.lit(1)).alias(alias)
+    return F.expr(f"count(*) AS {alias}")

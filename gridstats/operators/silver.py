@@ -12,11 +12,35 @@ from gridstats.functions import football as fb
 from gridstats.operators.bronze import timestamp_column
 
 
+# What the integral target types can hold.
+LIMITS = {"tinyint": (-128, 127), "int": (-2_147_483_648, 2_147_483_647)}
+WHOLE_NUMBER = "^[+-]?[0-9]+$"
+
+
+def lenient_cast(column: str, source: str, target: str) -> str:
+    """SQL for a cast that yields NULL where the value does not fit.
+
+    Fractions are cut off. The value is tested first, since a failing
+    ``try_cast`` costs a Java exception, which adds up where a column is dirty.
+    """
+    cast = f"try_cast(`{column}` AS {target})"
+    if source == target or target not in LIMITS:
+        return cast
+    low, high = LIMITS[target]
+    if source == "string":
+        return f"CASE WHEN `{column}` RLIKE '{WHOLE_NUMBER}' THEN {cast} END"
+    if source in ("float", "double"):
+        return f"CASE WHEN `{column}` > {low - 1}D AND `{column}` < {high + 1}D THEN {cast} END"
+    if source in ("smallint", "int", "bigint"):
+        return f"CASE WHEN `{column}` BETWEEN {low} AND {high} THEN {cast} END"
+    return cast
+
+
 def enforce_schema(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns that are present; what does not fit becomes NULL."""
     return df.selectExpr(*[
-        f"try_cast(`{c}` AS {types[c]}) AS `{c}`" if c in types else f"`{c}`"
-        for c in df.columns])
+        f"{lenient_cast(c, source, types[c])} AS `{c}`" if c in types else f"`{c}`"
+        for c, source in df.dtypes])
 
 
 def rename_columns(df: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridstats.functions.football import home_or_away, official_pass, passer_rating
+from gridstats.functions.football import home_or_away, passer_rating
 from gridstats.functions.numeric import ratio, round_half_even
 from gridstats.operators.bronze import timestamp_column
-from gridstats.operators.measures import MEAN_PLACES
+from gridstats.operators.measures import MEAN_PLACES, dependent, official, total
 from gridstats.schema import PLAYER
 
 # ---------------------------------------------------------------------------
@@ -36,10 +36,6 @@ OUTPUT = (
 # ---------------------------------------------------------------------------
 
 
-def _zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
-
-
 def _game_totals(plays: DataFrame, keys: list[str]) -> DataFrame:
     """Totals per key in two steps.
 
@@ -50,17 +46,16 @@ def _game_totals(plays: DataFrame, keys: list[str]) -> DataFrame:
     context differ within a game, the game still ends up as one row.
     """
     per_context = plays.groupBy(*keys, *CONTEXT).agg(
-        *[F.sum(F.when(official_pass(), F.col(c))).alias(c) for c in OFFICIAL_SUMS],
-        *[F.sum(c).alias(c) for c in SUMS],
-        *[F.sum(c).alias(f"{c}_sum") for c in MEANS],
-        *[F.count(c).alias(f"{c}_n") for c in MEANS],
+        *[official(c) for c in OFFICIAL_SUMS],
+        *[total(c) for c in SUMS],
+        *[F.expr(f"sum({c}) AS {c}_sum") for c in MEANS],
+        *[F.expr(f"count({c}) AS {c}_n") for c in MEANS],
     )
     return per_context.groupBy(*keys).agg(
-        *[F.min(c).alias(c) for c in CONTEXT],
-        *[_zero(F.sum(c)).alias(c) for c in OFFICIAL_SUMS + SUMS],
-        *[round_half_even(
-            F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_n")), MEAN_PLACES).alias(c)
-          for c in MEANS],
+        *[dependent(c) for c in CONTEXT],
+        *[total(c) for c in OFFICIAL_SUMS + SUMS],
+        *[round_half_even(F.expr(f"try_divide(sum({c}_sum), sum({c}_n))"),
+                          MEAN_PLACES).alias(c) for c in MEANS],
     )
 
 

@@ -16,6 +16,9 @@ SETTINGS = {
     # Play rows are wide. Beyond 8000 bytes the JVM leaves a generated method
     # interpreted; below this limit Spark generates smaller ones instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Plans have hundreds of expressions; recording the Python line of each one
+    # takes longer than creating it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -42,13 +42,14 @@ def test_two_point_result_replaces_the_source_column(rows):
 
 
 def test_lenient_cast(rows):
-    frame = rows("a double, b int, c string, d string, untouched date",
-                 dict(a=7.9, b=300, c="12", d="x"), dict(a=-7.9, b=1, c="12.0", d="1"),
-                 dict(a=float("nan"), c="", d=None))
-    types = dict(a="int", b="tinyint", c="int", d="int", absent="int")
+    frame = rows("a double, b int, c string, d string, untouched date, e double",
+                 dict(a=7.9, b=300, c="12", d="x", e=127.9),
+                 dict(a=-7.9, b=1, c="12.0", d="1", e=-128.9),
+                 dict(a=float("nan"), c="", d="99999999999", e=128.0))
+    types = dict(a="int", b="tinyint", c="int", d="int", e="tinyint", absent="int")
     got = V.enforce_schema(frame, types)
     assert [tuple(r) for r in got.collect()] == [
-        (7, None, 12, None, None), (-7, 1, None, 1, None), (None, None, None, None, None)]
+        (7, None, 12, None, None, 127), (-7, 1, None, 1, None, -128), (None,) * 6]
     assert got.columns == frame.columns
     assert dict(got.dtypes)["untouched"] == "date"
 
