@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridstats import schema as S
 from gridstats.operators import bronze as B
+from gridstats.operators.ordering import in_order
 from gridstats.operators.quality import CRITICAL_COLUMNS, null_counts
 from gridstats.plans.form import game_momentum, season_progression
 from gridstats.plans.layers import new_plays, silver_plays
@@ -29,6 +30,8 @@ log = logging.getLogger(__name__)
 PERFORMANCE = "qb_performance"
 FORM_TABLES = {"game_momentum": game_momentum, "season_progression": season_progression}
 GOLD_TABLES = (PERFORMANCE, *FORM_TABLES, *SPLIT_TABLES)
+GOLD_ORDER = {name: ("week",) for name in (PERFORMANCE, *FORM_TABLES)} | {
+    name: table.order for name, table in SPLIT_TABLES.items()}
 
 
 @dataclass(frozen=True)
@@ -134,5 +137,8 @@ def gold_table_path(gold_path: str, name: str) -> str:
     return f"{gold_path.rstrip('/')}/gold_{name}"
 
 
-def read_gold(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
-    return read_table(spark, gold_table_path(gold_path, name))
+def read_gold(spark: SparkSession, gold_path: str, name: str, *,
+              ordered: bool = False) -> DataFrame:
+    """A stored gold table, in its presentation order if asked for."""
+    table = read_table(spark, gold_table_path(gold_path, name))
+    return in_order(table, GOLD_ORDER[name]) if ordered else table

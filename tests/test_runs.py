@@ -67,6 +67,15 @@ def test_stored_gold_equals_the_lazy_plan(spark, sf_dir, layers, name):
     assert rows_of(stored) == rows_of(QUERIES[name](spark, sf_dir))
 
 
+@pytest.mark.parametrize("name, column, down", [
+    ("qb_performance", "week", False), ("efficiency_profile", "game_id", False),
+    ("receiver_overview", "epa", True), ("receiver_redzone", "pass_touchdown", True)])
+def test_presentation_order_of_stored_tables(spark, layers, name, column, down):
+    values = [r[0] for r in read_gold(spark, layers["gold"], name, ordered=True)
+              .select(column).collect()]
+    assert values == sorted(values, reverse=down) and len(set(values)) > 1
+
+
 def test_one_player_run_equals_that_players_rows(spark, sf_dir, layers, tmp_path):
     paths = {name: str(tmp_path / name) for name in ("bronze", "silver", "gold")}
     run_bronze(plays_from_lineitem(spark, sf_dir, [1997]), paths["bronze"], player=PLAYER)
