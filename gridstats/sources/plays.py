@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridstats import schema as S
+from gridstats.operators.quality import require_columns
 
 
 def read_plays(spark: SparkSession, path: str, seasons: Iterable[int] | None = None, *,
-               source_format: str = "parquet",
+               extra_columns: Iterable[str] = (), source_format: str = "parquet",
                schema: StructType | str | None = None) -> DataFrame:
     """Plays of the given seasons.
 
     On data partitioned by ``season`` the filter selects directories; otherwise
     it is pushed into the scan. Files describe their own types unless ``schema``
     overrides them, and silver casts leniently, so sources that store flags as
-    floating point are welcome. Columns nobody uses are never read.
+    floating point are welcome. Columns nobody uses are never read;
+    ``extra_columns`` keeps more of them, such as player ids to select by.
     """
     reader = spark.read.format(source_format)
     if schema is not None:
@@ -27,5 +29,6 @@ def read_plays(spark: SparkSession, path: str, seasons: Iterable[int] | None = N
     plays = reader.load(path)
     if seasons is not None:
         plays = plays.where(F.col("season").isin(sorted(set(seasons))))
+    require_columns(plays, [*S.RAW_TYPES, *extra_columns])
     lineage = [c for c in (S.INGEST_SEQ,) if c in plays.columns]
-    return plays.select(*S.RAW_TYPES, *lineage)
+    return plays.select(*S.RAW_TYPES, *lineage, *extra_columns)

@@ -28,6 +28,15 @@ def test_only_used_columns_are_read(spark, play_files):
     assert "ReadSchema: struct<game_id:string,epa:double>" in plan
 
 
+def test_other_columns_can_be_kept(spark, play_files, tmp_path):
+    path = str(tmp_path / "with_ids")
+    spark.read.parquet(play_files).selectExpr("*", "'00-1' AS passer_id").write.parquet(path)
+    assert "passer_id" not in read_plays(spark, path).columns
+    assert "passer_id" in read_plays(spark, path, extra_columns=["passer_id"]).columns
+    with pytest.raises(ValueError, match="rusher_id"):
+        read_plays(spark, path, extra_columns=["rusher_id"])
+
+
 def test_without_seasons_everything_is_read(spark, sf_dir, play_files):
     assert read_plays(spark, play_files).count() == plays_from_lineitem(spark, sf_dir).count()
 
