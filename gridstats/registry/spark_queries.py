@@ -131,8 +131,9 @@ def silver_dedup_last(spark, sf_dir):
     loaded = (B.clean(B.plays_by_player(first), FIRST_LOAD)
               .union(B.clean(B.plays_by_player(again), SECOND_LOAD)))
     keys = S.player_key(loaded.columns)
+    load_day = F.when(F.col(S.BRONZE_LOADED_AT) == F.lit(SECOND_LOAD), 2).otherwise(1)
     return keep_last(loaded, keys).select(
-        *keys, "epa", "ingest_seq", F.day(S.BRONZE_LOADED_AT).alias("load_day"))
+        *keys, "epa", "ingest_seq", load_day.alias("load_day"))
 
 
 def silver_features(spark, sf_dir):
