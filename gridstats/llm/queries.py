@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstats.llm.mixing import with_mix, word_count
 from gridstats.llm.quality import with_quality
+from gridstats.llm.sharding import sized_keys, with_shards
+from gridstats.llm.shared import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +26,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "score")])
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    sized = stored(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
+    return with_mix(sized).select(
+        "doc_id", "size", "mix.source_size", "mix.target", "mix.taken")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    keyed = stored(sized_keys(docs).select("doc_id", "_shard"), "shard-keys")
+    placed = with_shards(docs.select("doc_id"), keyed=keyed)
+    return placed.select(
+        "doc_id", "shard.size", "shard.text_crc32", F.lit("bytes").alias("law"),
+        "shard.shard", "shard.slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_mixing": op6_mixing,
+    "op7_sharding": op7_sharding,
 }
 
 ORACLE: dict[str, str] = {}
