@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from gridstats.llm.mixing import with_mix, word_count
 from gridstats.llm.quality import with_quality
 from gridstats.llm.sharding import sized_keys, with_shards
-from gridstats.llm.shared import stored
+from gridstats.llm.shared import stored, text_of
+from gridstats.llm.simhash import fingerprints, near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,15 @@ def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    prints = stored(docs.select("doc_id", fingerprints(text_of()).alias("fp")), "prints")
+    component = near_duplicates(prints)
+    return prints.join(component, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = with_quality(_table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir))
     return rated.select("doc_id", *[f"quality.{c}" for c in (
@@ -43,6 +53,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
