@@ -10,6 +10,9 @@ from gridstats.llm.quality import with_quality
 from gridstats.llm.sharding import sized_keys, with_shards
 from gridstats.llm.shared import stored, text_of
 from gridstats.llm.simhash import fingerprints, near_duplicates
+from gridstats.llm.tokencount import token_counts
+
+LONG_TEXT_TOKENS = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +39,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "score")])
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counted = docs.select("doc_id", F.octet_length(text_of()).cast("long").alias("n_bytes"),
+                          token_counts(text_of()).alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > LONG_TEXT_TOKENS)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = stored(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
@@ -55,6 +65,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_quality_rules": op4_quality_rules,
+    "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
 }
