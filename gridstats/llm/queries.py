@@ -11,6 +11,8 @@ from gridstats.llm.sharding import sized_keys, with_shards
 from gridstats.llm.shared import stored, text_of
 from gridstats.llm.simhash import fingerprints, near_duplicates
 from gridstats.llm.tokencount import token_counts
+from gridstats.llm.tokenfile import read_token_files, token_folder, write_token_files
+from gridstats.llm.warc import archive_folder, read_archives, write_archives
 
 LONG_TEXT_TOKENS = 4096
 
@@ -62,12 +64,25 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard.shard", "shard.slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_archives(_table(spark, sf_dir, "pages"), archive_folder(spark))
+    return read_archives(spark, files, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(_table(spark, sf_dir, "documents"), token_folder(spark))
+    return read_token_files(spark, files)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
+    "op9_warc": op9_warc,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}
