@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstats.llm.decontam import benchmark_table, with_leaks
 from gridstats.llm.mixing import with_mix, word_count
 from gridstats.llm.quality import with_quality
 from gridstats.llm.sharding import sized_keys, with_shards
@@ -64,6 +65,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard.shard", "shard.slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_leaks(docs, benchmark_table(spark, sf_dir))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_archives(_table(spark, sf_dir, "pages"), archive_folder(spark))
     return read_archives(spark, files, payloads=False).select(
@@ -81,6 +88,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_token_files": op10_token_files,
 }
