@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstats.llm.decontam import benchmark_table, with_leaks
+from gridstats.llm.mixing import mixed_documents
 from gridstats.llm.quality import with_quality
 from gridstats.llm.queries import trusted_documents
+from gridstats.llm.sharding import with_shards
+from gridstats.llm.shared import stored
+from gridstats.llm.simhash import keep_one
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +20,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rated.where(F.col("_quality.kept")).drop("_quality")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of SimHash near-duplicates."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    searched = with_leaks(docs, benchmark_table(spark, sf_dir), into="_leaks")
+    return searched.where(F.size("_leaks") == 0).drop("_leaks")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies and parts of documents, so that sources weigh what they should."""
+    return mixed_documents(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its shard, its place there, and its size."""
+    placed = with_shards(docs, into="_shard_of")
+    return placed.select(*docs.columns, "_shard_of.shard", "_shard_of.slot", "_shard_of.size")
+
+
 STAGES = [
     ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
 ]
 
 # Fingerprints, random walks and hashed multinomials are beyond SQL; the tests
@@ -26,8 +57,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written before the next reads it."""
-    from gridstats.llm.shared import stored
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm.shared import text_of
+from gridstats.llm.shared import ship_package, text_of
 
 MAX_EDIT_SHARE = 0.2       # of an item's words that may differ
 SIZES = (2, 4, 8, 16, 32)  # words of a window
@@ -243,6 +243,9 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
             continue
         low = max(starts[doc], place - allowed)
         high = min(starts[doc] + lengths[doc], place + len(item) + allowed)
+        # Every word of the item that the region lacks is an edit.
+        if np.isin(item, joined[low:high]).sum() < len(item) - allowed:
+            continue
         distance, end = best_match(item, joined[low:high])
         if distance > allowed:
             continue
@@ -266,6 +269,8 @@ _WORDS = Words()
 
 
 def _matches(text: Column, index) -> Column:
+    ship_package()
+
     @F.pandas_udf(MATCH_SCHEMA)
     def search(texts: pd.Series) -> pd.Series:
         return pd.Series(find(list(texts), index.value, _WORDS))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm.decontam import benchmark_table, with_leaks
 from gridstats.llm.mixing import with_mix, word_count
+from gridstats.llm.pii import with_personal_data
 from gridstats.llm.quality import with_quality
 from gridstats.llm.sharding import sized_keys, with_shards
 from gridstats.llm.shared import stored, text_of
 from gridstats.llm.simhash import fingerprints, near_duplicates
 from gridstats.llm.tokencount import token_counts
 from gridstats.llm.tokenfile import read_token_files, token_folder, write_token_files
+from gridstats.llm.toxicity import train, with_toxicity
 from gridstats.llm.warc import archive_folder, read_archives, write_archives
 
 LONG_TEXT_TOKENS = 4096
@@ -35,6 +37,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_personal_data(docs).select("doc_id", "personal.*")
+
+
+def _fifth(key: str = "doc_id") -> Column:
+    """Rows held out of training: a fifth, by the CRC-32 of the key as text."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, _table(spark, sf_dir, "labels").where(~_fifth()))
+    scored = with_toxicity(docs, model, into="score")
+    return scored.select("doc_id", F.coalesce(_fifth(), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = with_quality(_table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir))
     return rated.select("doc_id", *[f"quality.{c}" for c in (
@@ -84,6 +104,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_personal_data": op2_personal_data,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from gridstats.llm.shared import stored, text_of
+from gridstats.llm.shared import broadcast_if_small, ship_package, stored, text_of
 
 SHINGLE = 3
 DISTANCE = 3
@@ -61,6 +61,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     """The SimHash of every text as a (signed) long."""
+    ship_package()
+
     @F.pandas_udf(LongType())
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts],
@@ -219,6 +221,7 @@ def links(codes: DataFrame, distance: int = DISTANCE, hot_group: int = HOT_GROUP
             F.array(F.struct("t", "k")))
         spread = (keyed.join(hot, ["t", "k"], "left")
                   .select("fp", F.explode(entries).alias("e")).select("fp", "e.t", "e.k"))
+    ship_package()
     n = max(1, int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = spread.repartition(n, "t", "k").sortWithinPartitions("t", "k")
     return placed.mapInPandas(_search_partition(distance), "a long, b long").distinct()
@@ -295,6 +298,9 @@ def keep_one(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     conditions = [marked["_row"]["n"] == winners["n"],
                   marked["_row"]["k"].eqNullSafe(winners["k"]),
                   marked["_row"]["h"] == winners["h"]]
-    kept = marked.join(winners, reduce(lambda a, b: a & b, conditions), "left_semi")
-    # Identical rows have the same key and hash; one of them stays.
-    return kept.dropDuplicates(["_row"]).select(*names)
+    kept = marked.join(broadcast_if_small(winners), reduce(
+        lambda a, b: a & b, conditions), "left_semi")
+    # Identical rows have the same key and hash; where there are any, one stays.
+    if not prints.groupBy("_row").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_row"])
+    return kept.select(*names)

@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from gridstats.llm.shared import Recent, ship_package
+
 SPACE = "▁"           # how the vocabulary writes a blank
 CACHED_SEGMENTS = 800_000  # of words, and as many of parts, per worker process
 CACHED_LENGTH = 48         # characters up to which a segment is worth keeping
@@ -63,26 +65,6 @@ def count_after_merging(symbols: str, ranks: dict[str, float]) -> int:
     return left
 
 
-class Recent:
-    """A bounded table of counts: two halves, the older dropped when the newer is full."""
-
-    def __init__(self, size: int):
-        self.half, self.new, self.old = size // 2, {}, {}
-
-    def get(self, key: str) -> int | None:
-        value = self.new.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key: str, value: int) -> None:
-        if len(self.new) >= self.half:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
-
-
 class PieceCounter:
     """Counts tokens of a byte-pair piece vocabulary with byte fallback.
 
@@ -156,6 +138,8 @@ def token_counts(text: Column, vocabulary: str = "piece_bpe_32k.model") -> Colum
     """Tokens of every text, as a long; ``vocabulary`` is a path, or the name of a
     public vocabulary file. NULL and empty texts have none; texts of any length
     are counted whole; special strings inside a text are ordinary text."""
+    ship_package()
+
     @F.pandas_udf(LongType())
     def tokens(texts: pd.Series) -> pd.Series:
         import os

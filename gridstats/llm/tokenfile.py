@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridstats.llm.files import read_at, write_whole
-from gridstats.llm.shared import new_path, stored, text_of
+from gridstats.llm.shared import new_path, ship_package, stored, text_of
 
 CHUNK_IDS = 1 << 16
 LEVEL = 3
@@ -217,6 +217,7 @@ def write_token_files(docs: DataFrame, folder: str, *, text: str = "text", key:
     alone. NULL keys come first, rows of one key in the order of their texts. Files
     belong to one attempt of a task; the table lists those that succeeded.
     """
+    ship_package()
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select(F.col(key).cast("long").alias("k"), text_of(text).alias("t"))
@@ -248,6 +249,7 @@ def write_token_files(docs: DataFrame, folder: str, *, text: str = "text", key:
 
 def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     """One row per document read back: key, start among all ids, length, CRC-32."""
+    ship_package()
     order = Window.orderBy("part", "file").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     placed = files.withColumn("before", F.sum("ids").over(order) - F.col("ids"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm.files import read_at, write_whole
-from gridstats.llm.shared import new_path, stored, text_of
+from gridstats.llm.shared import new_path, ship_package, stored, text_of
 
 LEAST_REVISIT_BYTES = 1000    # smaller payloads are always stored
 SPLIT_BYTES = 8 << 20         # of an archive, per reading task
@@ -198,6 +198,7 @@ def write_archives(pages: DataFrame, folder: str, *, key: str = "page_id", uri:
     NULL or odd URI is written so that it fits a line. Files belong to one attempt
     of a task; the table lists those of attempts that succeeded.
     """
+    ship_package()
     chosen = with_revisits(pages, key=key, payload=text_of(html)).select(
         F.col(key).alias("k"), F.col(uri).cast("string").alias("u"),
         text_of(html).alias("p"), F.col("_first").alias("f"))
@@ -227,6 +228,7 @@ def write_archives(pages: DataFrame, folder: str, *, key: str = "page_id", uri:
 def read_archives(spark: SparkSession, files: DataFrame, *, payloads: bool = True,
                   split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Every record of the files (path, bytes), read in ranges of ``split_bytes``."""
+    ship_package()
     ranges = files.select("path", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)),
         F.lit(split_bytes).cast("long"))).alias("start"))
