@@ -76,7 +76,7 @@ class Recent:
     def __init__(self, size: int):
         self.half, self.new, self.old = size // 2, {}, {}
 
-    def get(self, key: str) -> float | None:
+    def get(self, key: str):
         value = self.new.get(key)
         if value is None:
             value = self.old.get(key)
@@ -84,7 +84,16 @@ class Recent:
                 self.put(key, value)
         return value
 
-    def put(self, key: str, value: float) -> None:
+    def put(self, key: str, value) -> None:
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
         self.new[key] = value
+
+    def holding(self, keys: set[str]) -> dict:
+        """The newer half, with room for ``keys`` and with those that the older has."""
+        if len(self.new) + len(keys) > self.half:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        if old:
+            new.update((k, old[k]) for k in keys.difference(new) if k in old)
+        return new

@@ -12,8 +12,10 @@ is read from the chunks that hold it.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,12 +25,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridstats.llm.files import read_at, write_whole
-from gridstats.llm.shared import new_path, ship_package, stored, text_of
+from gridstats.llm.shared import Recent, new_path, ship_package, stored, text_of
 
 CHUNK_IDS = 1 << 16
 LEVEL = 3
 END = b"PLANES01"
-CACHED_WORDS = 400_000     # per worker process, of words whose ids are kept
+CACHED_WORDS = 600_000     # per worker process, and twice as many parts of words
 CACHED_LENGTH = 48
 FILE_IDS = 64 << 20        # ids after which a task starts a new file
 
@@ -149,7 +151,9 @@ class Encoder:
 
     A blank between two other characters always starts a piece of the byte-level
     pre-tokenizer, so a text without white space beside a blank may be encoded word
-    by word. Texts with special strings, and all others, are encoded whole.
+    by word; and letters, punctuation after them, and a single line feed are pieces
+    of their own, so a word may be put together from such parts. Texts with special
+    strings, and all others, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -158,39 +162,66 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in
                         self.tokenizer.get_added_tokens_decoder().values()]
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words, self.parts = Recent(CACHED_WORDS), Recent(2 * CACHED_WORDS)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in
+        return [array("I", e.ids).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _keep(self, word: str, ids: bytes) -> bytes:
-        if len(word) <= CACHED_LENGTH:
-            if len(self.new) >= CACHED_WORDS // 2:
-                self.old, self.new = self.new, {}
-            self.new[word] = ids
-        return ids
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of words that follow a blank into the table, by their parts."""
+        cut = {w: _parts(w) for w in words}
+        parts = {part for pieces in cut.values() for part in pieces}
+        known = self.parts.holding(parts)
+        fresh = [part for part in parts if part not in known]
+        known.update(zip(fresh, self._encode(fresh)))
+        ids = known.__getitem__
+        self.words.new.update(
+            (w, ids(pieces[0]) if len(pieces) == 1 else b"".join(map(ids, pieces)))
+            for w, pieces in cut.items())
 
     def ids(self, text: str | None) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
-        words = text.split(" ")
-        # Words with white space at an end, or none at all between two blanks.
-        if any(s in text for s in self.special) or not all(words) or any(
-                w[0].isspace() or w[-1].isspace() for w in words):
+        if (_BESIDE_BLANK.search(text) or text[0] == " " or text[-1] == " "
+                or any(s in text for s in self.special)):
             return self._encode([text])[0]
-        first, rest = words[0], words[1:]
-        found = list(map(self.new.get, rest))
-        if None in found:
-            missing = {w for w, ids in zip(rest, found) if ids is None}
-            known = {w: ids for w in missing if (ids := self.old.get(w)) is not None}
-            fresh = [w for w in missing if w not in known]
-            known.update(zip(fresh, self._encode([" " + w for w in fresh])))
-            for w, ids in known.items():
-                self._keep(w, ids)
-            found = [known[w] if ids is None else ids for w, ids in zip(rest, found)]
-        return self._encode([first])[0] + b"".join(found)
+        first, *rest = text.split(" ")
+        wanted = set(rest)
+        table = self.words.holding(wanted)
+        missing = wanted.difference(table)
+        if missing:
+            self._learn(missing)
+        out = self._encode([first])[0] + b"".join(map(table.__getitem__, rest))
+        for table in (self.words.new, self.parts.new):
+            for long in [w for w in missing if len(w) > CACHED_LENGTH]:
+                table.pop(long, None)
+                table.pop(" " + long, None)
+        return out
+
+
+# What Python takes for white space includes all that the pre-tokenizer does.
+_BESIDE_BLANK = re.compile(r"\s | \s")
+_STOPS = ".,;:!?"
+
+
+def _parts(word: str) -> list[str]:
+    """A word after a blank as pieces that are encoded by themselves."""
+    lines = word.split("\n")
+    if len(lines) > 1 and word.split() != lines:
+        return [" " + word]
+    parts = []
+    for n, line in enumerate(lines):
+        start = "" if n else " "
+        if n:
+            parts.append("\n")
+        core = line.rstrip(_STOPS)
+        if core != line and core.isalpha():
+            parts += [start + core, line[len(core):]]
+        else:
+            parts.append(start + line)
+    return parts
 
 
 @lru_cache(maxsize=1)
