@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridstats import schema as S
 
@@ -63,3 +64,32 @@ def clean(plays: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
         *[f"coalesce({c}, {fills[c]}) AS {c}" if c in fills else f"`{c}`"
           for c in S.PLAY_COLUMNS])
     return filled.withColumn(S.BRONZE_LOADED_AT, timestamp_column(loaded_at))
+
+
+_NUMBERS = (T.NumericType, T.BooleanType, T.NullType)
+_KINDS = {
+    "string": (T.StringType, T.NullType),
+    "date": (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.NullType),
+}
+
+
+def require_kinds(plays: DataFrame) -> None:
+    """Raise ``ValueError`` naming columns whose type cannot be stored as declared:
+    text where a number belongs, or the other way round."""
+    wrong = [f"{c} {plays.schema[c].dataType.simpleString()}" for c, t in S.BRONZE_TYPES.items()
+             if c in plays.columns and not isinstance(
+                 plays.schema[c].dataType, _KINDS.get(t, _NUMBERS))]
+    if wrong:
+        raise ValueError(f"columns of another kind than declared: {wrong}")
+
+
+def as_declared(plays: DataFrame) -> DataFrame:
+    """The columns under the types that bronze declares. Numbers are widened;
+    dates delivered as text become NULL if they are none."""
+    def declared(c: str) -> Column:
+        if c not in S.BRONZE_TYPES:
+            return F.col(c)
+        cast = F.col(c).try_cast if isinstance(plays.schema[c].dataType, T.StringType) \
+            else F.col(c).cast
+        return cast(S.BRONZE_TYPES[c]).alias(c)
+    return plays.select(*map(declared, plays.columns))

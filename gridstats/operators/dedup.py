@@ -23,28 +23,38 @@ def _keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
 
 
 def _content_order(df: DataFrame) -> Column:
-    """A repeatable order among rows that nothing else tells apart."""
-    return F.xxhash64(*df.columns)
+    """A repeatable order among rows that nothing else tells apart.
 
+    The hash passes over NULLs, so where they stand is hashed too. That two rows
+    of one play differ and still share all 64 bits is accepted.
+    """
+    return F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns])
+
+
+def keep_any(df: DataFrame, keys: Sequence[str], tie_break: Sequence[Column] | None = None,
+             unique_arrival: bool = False) -> DataFrame:
+    """One row per key. Any row would do, but a rerun must choose the same one.
 
-def keep_any(df: DataFrame, keys: Sequence[str],
-             tie_break: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key. Any row would do, but a rerun must choose the same one."""
+    ``unique_arrival`` declares that ``tie_break`` leaves no ties within a key.
+    """
     if tie_break is None:
-        tie_break = [F.col(INGEST_SEQ).asc()] if INGEST_SEQ in df.columns \
-            else [_content_order(df)]
+        tie_break = [F.col(INGEST_SEQ).asc()] if INGEST_SEQ in df.columns else []
+    if not (unique_arrival and tie_break):
+        tie_break = [*tie_break, _content_order(df)]
     return _keep_one(df, keys, tie_break)
 
 
-def keep_last(df: DataFrame, keys: Sequence[str],
-              arrival: Sequence[str] | None = None) -> DataFrame:
-    """The row of every key that arrived last."""
+def keep_last(df: DataFrame, keys: Sequence[str], arrival: Sequence[str] | None = None,
+              unique_arrival: bool = False) -> DataFrame:
+    """The row of every key that arrived last.
+
+    ``unique_arrival`` declares that no two rows of a key arrived at the same time:
+    ties need not be broken then, and columns nobody uses are not read for it.
+    """
     if arrival is None:
         arrival = [c for c in (BRONZE_LOADED_AT, INGEST_SEQ) if c in df.columns]
     order = [F.col(c).desc_nulls_last() for c in arrival]
-    if INGEST_SEQ not in arrival:
-        order.append(_content_order(df))
-    return _keep_one(df, keys, order)
+    return _keep_one(df, keys, order if unique_arrival else [*order, _content_order(df)])
 
 
 def recorded_keys(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,7 +70,8 @@ def exclude_recorded(plays: DataFrame, recorded: DataFrame,
     key, so it is dropped; a bare anti-join would keep it. The join runs on the
     typed key columns, shuffles by the same keys as the deduplication before it,
     and is broadcast only if Spark finds the recorded side below its threshold.
+    Recorded keys may repeat: an anti-join only asks whether there is one.
     """
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return plays.where(complete).join(
-        recorded_keys(recorded, keys).where(complete), list(keys), "left_anti")
+        recorded.select(*keys).where(complete), list(keys), "left_anti")

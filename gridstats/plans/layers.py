@@ -16,19 +16,24 @@ from gridstats.operators.quality import require_columns
 
 def new_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
               player: str | None = None, players: Iterable[str] | None = None,
-              passer: str = S.PASSER, rusher: str = S.RUSHER) -> DataFrame:
+              passer: str = S.PASSER, rusher: str = S.RUSHER,
+              season_in_key: bool = False, unique_arrival: bool = False) -> DataFrame:
     """Distinct plays of the wanted players that ``recorded`` does not hold.
 
     ``player`` selects one player and leaves the rows without a player column;
     otherwise every play is kept once per player involved, for all players or
-    for ``players``. Nulls are still unfilled.
+    for ``players``. Nulls are still unfilled. With ``season_in_key`` plays are
+    compared with recorded ones of their own season only. ``unique_arrival``
+    declares that copies of a play differ in ``ingest_seq``.
     """
     if player is not None:
         chosen = B.plays_of(raw, player, passer=passer, rusher=rusher)
     else:
         chosen = B.plays_by_player(raw, players, passer=passer, rusher=rusher)
     keys = S.player_key(chosen.columns)
-    distinct = keep_any(chosen, keys)
+    if season_in_key:
+        keys = [*keys, "season"]
+    distinct = keep_any(chosen, keys, unique_arrival=unique_arrival)
     return distinct if recorded is None else exclude_recorded(distinct, recorded, keys)
 
 
@@ -38,7 +43,8 @@ def bronze_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
     return B.clean(new_plays(raw, recorded, **selection), loaded_at)
 
 
-def silver_plays(bronze: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+def silver_plays(bronze: DataFrame, loaded_at: datetime | None = None, *,
+                 unique_arrival: bool = False) -> DataFrame:
     """The silver table for a bronze table.
 
     Deduplication follows the cast, so keys that do not fit their type collapse
@@ -49,5 +55,6 @@ def silver_plays(bronze: DataFrame, loaded_at: datetime | None = None) -> DataFr
                if c in bronze.columns]
     typed = V.enforce_schema(bronze.select(*lineage, *S.PLAY_COLUMNS), S.CAST_TYPES)
     renamed = V.rename_columns(typed)
-    latest = keep_last(renamed, S.player_key(renamed.columns))
+    latest = keep_last(renamed, S.player_key(renamed.columns),
+                       unique_arrival=unique_arrival)
     return V.add_features(latest.drop(S.BRONZE_LOADED_AT, S.INGEST_SEQ), loaded_at)

@@ -44,7 +44,9 @@ class BronzeReport:
 
 def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
                players: Iterable[str] | None = None,
+               passer: str = S.PASSER, rusher: str = S.RUSHER,
                recorded_seasons: Sequence[int] | None = None,
+               season_in_key: bool = False,
                loaded_at: datetime | None = None) -> BronzeReport:
     """Append the plays of ``raw`` that bronze does not hold yet.
 
@@ -54,16 +56,26 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
 
     ``recorded_seasons`` limits the recorded keys to those seasons' directories.
     Use it where a game id never occurs in two seasons; by default all recorded
-    plays are compared.
+    plays are compared. ``season_in_key`` declares that once: the season is then
+    part of the key, and only the delivered seasons' directories are read.
+    ``passer`` and ``rusher`` name the columns to select players by.
+
+    Columns are stored under the declared types of ``schema.BRONZE_TYPES``; a
+    delivery of another kind of type is refused before anything is written.
     """
+    B.require_kinds(raw)
+    if season_in_key and recorded_seasons is None:
+        recorded_seasons = [r["season"] for r in raw.select("season").distinct().collect()]
     recorded = read_table_if_any(raw.sparkSession, bronze_path)
     if recorded is not None and recorded_seasons is not None:
         recorded = recorded.where(F.col("season").isin(list(recorded_seasons)))
-    fresh = new_plays(raw, recorded, player=player, players=players)
+    fresh = new_plays(raw, recorded, player=player, players=players, passer=passer,
+                      rusher=rusher, season_in_key=season_in_key)
     seen = Observation("new_plays")
     watched = rebalanced(fresh, "season").observe(
         seen, F.count(F.lit(1)).alias("n_plays"), *null_counts())
-    append_table(B.clean(watched, loaded_at), bronze_path, partition_by=["season"])
+    append_table(B.as_declared(B.clean(watched, loaded_at)), bronze_path,
+                 partition_by=["season"])
 
     counts = seen.get
     report = BronzeReport(counts["n_plays"],
@@ -102,13 +114,14 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, *,
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
              team: str | Column, player: str | None = None,
-             tables: Sequence[str] = GOLD_TABLES,
+             tables: Sequence[str] = GOLD_TABLES, extra_keys: Sequence[str] = (),
              loaded_at: datetime | None = None) -> list[str]:
     """Replace the gold tables asked for and return their names.
 
     Tables are directories ``gold_<name>`` under ``gold_path``. The form tables
     read the stored performance table, so ask for it in the same or an earlier
-    run.
+    run. ``extra_keys`` splits the split tables further, for instance by season.
+    Silver of a single player needs that ``player``.
     """
     unknown = sorted(set(tables) - set(GOLD_TABLES))
     if unknown:
@@ -117,6 +130,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
     if silver is None:
         return []
     by_player = S.PLAYER in silver.columns
+    if not by_player and player is None:
+        raise ValueError("silver has no player column: name the player")
     written = []
     for name in (t for t in GOLD_TABLES if t in tables):
         if name == PERFORMANCE:
@@ -127,7 +142,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
                 continue
             table = FORM_TABLES[name](games, by_player=by_player)
         else:
-            table = build(name, silver, team=team, player=player, loaded_at=loaded_at)
+            table = build(name, silver, team=team, player=player, extra_keys=extra_keys,
+                          loaded_at=loaded_at)
         replace_table(table, gold_table_path(gold_path, name))
         written.append(name)
     return written

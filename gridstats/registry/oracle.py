@@ -36,7 +36,8 @@ kinds AS (
 RAW = LINES + """,
 raw AS (
   SELECT
-    season_no || '_' || lpad(CAST(wk AS VARCHAR), 2, '0') || '_' || l_suppkey AS game_id,
+    season_no || '_' || lpad(CAST(wk AS VARCHAR), 2, '0') || '_' || l_suppkey
+      || '_' || (l_orderkey * 8 + l_linenumber) // 2147483647 AS game_id,
     CAST((l_orderkey * 8 + l_linenumber) % 2147483647 AS INTEGER) AS play_id,
     season_no AS season, wk AS "week",
     CASE WHEN wk <= 10 THEN 'REG' ELSE 'POST' END AS season_type,
@@ -292,7 +293,7 @@ PRESSURE_KEY = f"{PRESSURE} AS pressure_type"
 ORACLE: dict[str, str] = {
     "src_season_scan": _with(RAW, """
 SELECT game_id, play_id, season, "week", play_type, epa, passer_player_name, rusher_player_name
-FROM raw WHERE season IN (1995, 1996, 1997, 1998, 1999, 2000, 2001)"""),
+FROM raw WHERE season IN (1996, 1997)"""),
 
     "bronze_recorded_keys": _with(FRESH, """
 SELECT DISTINCT player_name, game_id, play_id FROM fresh"""),

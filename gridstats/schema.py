@@ -7,33 +7,58 @@ from __future__ import annotations
 # ---------------------------------------------------------------------------
 
 # The 50 play columns with the type each has after the lenient cast.
-PLAY_TYPES = dict(column.split() for column in """
-    game_id string, play_id int, season int, season_type string,
-    game_date date, week int, home_team string, away_team string,
-    defteam string, receiver_player_name string,
-
-    drive int, qtr int, down int, yrdln string, desc string,
-
-    play_type string, yards_gained int, yards_after_catch double,
-
-    epa double, qb_epa double, air_epa double, yac_epa double,
-    xyac_epa double,
-
-    pass_attempt tinyint, complete_pass tinyint, passing_yards int,
-    air_yards int, pass_touchdown tinyint, interception tinyint,
-    sack tinyint, cpoe double, pass_location string, td_team string,
-    td_player_name string, pass_length string,
-
-    qb_hit tinyint, qb_scramble tinyint, qb_dropback tinyint,
-
-    rush_attempt tinyint, rushing_yards int, rush_touchdown tinyint,
-
-    fumble tinyint, fumble_forced tinyint, fumble_not_forced tinyint,
-    fumble_lost tinyint, fumble_out_of_bounds tinyint,
-    two_point_conv_result string,
-
-    score_differential int, posteam_score int, defteam_score int
-""".split(","))
+PLAY_TYPES = {
+    "game_id": "string",
+    "play_id": "int",
+    "season": "int",
+    "season_type": "string",
+    "game_date": "date",
+    "week": "int",
+    "home_team": "string",
+    "away_team": "string",
+    "defteam": "string",
+    "receiver_player_name": "string",
+    "drive": "int",
+    "qtr": "int",
+    "down": "int",
+    "yrdln": "string",
+    "desc": "string",
+    "play_type": "string",
+    "yards_gained": "int",
+    "yards_after_catch": "double",
+    "epa": "double",
+    "qb_epa": "double",
+    "air_epa": "double",
+    "yac_epa": "double",
+    "xyac_epa": "double",
+    "pass_attempt": "tinyint",
+    "complete_pass": "tinyint",
+    "passing_yards": "int",
+    "air_yards": "int",
+    "pass_touchdown": "tinyint",
+    "interception": "tinyint",
+    "sack": "tinyint",
+    "cpoe": "double",
+    "pass_location": "string",
+    "td_team": "string",
+    "td_player_name": "string",
+    "pass_length": "string",
+    "qb_hit": "tinyint",
+    "qb_scramble": "tinyint",
+    "qb_dropback": "tinyint",
+    "rush_attempt": "tinyint",
+    "rushing_yards": "int",
+    "rush_touchdown": "tinyint",
+    "fumble": "tinyint",
+    "fumble_forced": "tinyint",
+    "fumble_not_forced": "tinyint",
+    "fumble_lost": "tinyint",
+    "fumble_out_of_bounds": "tinyint",
+    "two_point_conv_result": "string",
+    "score_differential": "int",
+    "posteam_score": "int",
+    "defteam_score": "int",
+}
 
 # Columns the lenient cast leaves as they came.
 UNCAST = ("game_date",)
@@ -80,6 +105,13 @@ PASSER, RUSHER = "passer_player_name", "rusher_player_name"
 INGEST_SEQ = "ingest_seq"
 BRONZE_LOADED_AT = "bronze_loaded_at"
 
+# What bronze stores: numbers wide enough for every delivery, whether it brings
+# flags as integers or as floating point. The season is the partition directory.
+_WHOLE = {"play_id": "bigint", "season": "int", INGEST_SEQ: "bigint"}
+_WIDE = {"int": "double", "tinyint": "double", "double": "double", "string": "string",
+         "date": "date"}
+BRONZE_TYPES = {**{c: _WIDE[t] for c, t in PLAY_TYPES.items()}, **_WHOLE}
+
 RAW_TYPES = {**PLAY_TYPES, PASSER: "string", RUSHER: "string"}
 RAW_DDL = ", ".join(f"`{c}` {t}" for c, t in RAW_TYPES.items())
 

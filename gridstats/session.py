@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Streaming deduplication keeps every play's key; on the heap they would not fit.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Play rows are wide. Beyond 8000 bytes the JVM leaves a generated method
     # interpreted; below this limit Spark generates smaller ones instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -23,7 +26,11 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "gridstats", master: str | None = None,
-                  **settings: str) -> SparkSession:
+                  shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
+    """``shuffle_partitions``: shuffled bytes of the largest layer over 128 MB, and at
+    least two per core. Adaptive execution merges what smaller tables do not need."""
+    if shuffle_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)

@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-# Play ids are unique within a game only, and silver keeps them in 32 bits, so
-# the line's number is folded to fit at any scale.
+# Silver keeps play ids in 32 bits. A line's number is divided by the largest one:
+# the remainder is the play id and the quotient ends the game id, so that two lines
+# never share both, however many there are.
 MAX_PLAY_ID = 2_147_483_647
 
 # Expressions over lineitem; each stage may use the names of those before it.
 _LINE = {
+    "line": "cast(l_orderkey as bigint) * 8 + l_linenumber",
     "season": "year(l_shipdate)",
     "week": "month(l_shipdate)",
     "disc": "cast(rint(l_discount * 100) as int)",
@@ -45,8 +47,9 @@ _OUTCOME = {
            " (disc - 5) / 4.0D)",
 }
 _PLAY = {
-    "game_id": "concat(season, '_', lpad(week, 2, '0'), '_', l_suppkey)",
-    "play_id": f"cast((l_orderkey * 8 + l_linenumber) % {MAX_PLAY_ID} as int)",
+    "game_id": "concat(season, '_', lpad(week, 2, '0'), '_', l_suppkey, '_', line div"
+               f" {MAX_PLAY_ID})",
+    "play_id": f"cast(line % {MAX_PLAY_ID} as int)",
     "season": "season",
     "season_type": "if(week <= 10, 'REG', 'POST')",
     "game_date": "cast(l_shipdate as date)",

@@ -3,32 +3,62 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridstats import schema as S
+from gridstats.operators.bronze import as_declared, require_kinds
 from gridstats.operators.quality import require_columns
 
 
+def _by_season(spark: SparkSession, path: str, wanted: list[int] | None,
+               source_format: str) -> DataFrame | None:
+    """The seasons' directories, each read with its own types and cast to the
+    declared ones; None if the data are not laid out by season. The number of
+    directories is bounded by the calendar."""
+    whole = spark.read.format(source_format).load(path)
+    if "season" not in whole.columns or not any(
+            "/season=" in file for file in whole.limit(1).inputFiles()):
+        return None
+    if wanted is None:
+        wanted = [r["season"] for r in whole.select("season").distinct().collect()]
+    parts = []
+    for season in sorted(wanted):
+        try:
+            part = (spark.read.format(source_format).option("basePath", path)
+                    .load(f"{path.rstrip('/')}/season={season}")
+                    .where(F.col("season") == season))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        require_kinds(part)
+        parts.append(as_declared(part))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) \
+        if parts else as_declared(whole).limit(0)
+
+
 def read_plays(spark: SparkSession, path: str, seasons: Iterable[int] | None = None, *,
                extra_columns: Iterable[str] = (), source_format: str = "parquet",
                schema: StructType | str | None = None) -> DataFrame:
     """Plays of the given seasons.
 
-    On data partitioned by ``season`` the filter selects directories; otherwise
-    it is pushed into the scan. Files describe their own types unless ``schema``
-    overrides them, and silver casts leniently, so sources that store flags as
-    floating point are welcome. Columns nobody uses are never read;
+    On data partitioned by ``season`` the filter selects directories, and every
+    season may store numbers in its own types; otherwise the filter is pushed into
+    the scan. ``schema`` overrides what files say. Columns nobody uses are never read;
     ``extra_columns`` keeps more of them, such as player ids to select by.
     """
-    reader = spark.read.format(source_format)
-    if schema is not None:
-        reader = reader.schema(schema)
-    plays = reader.load(path)
-    if seasons is not None:
-        plays = plays.where(F.col("season").isin(sorted(set(seasons))))
+    wanted = None if seasons is None else sorted(set(seasons))
+    plays = None if schema is not None else _by_season(spark, path, wanted, source_format)
+    if plays is None:
+        reader = spark.read.format(source_format)
+        plays = (reader if schema is None else reader.schema(schema)).load(path)
+        if wanted is not None:
+            plays = plays.where(F.col("season").isin(wanted))
     require_columns(plays, [*S.RAW_TYPES, *extra_columns])
     lineage = [c for c in (S.INGEST_SEQ,) if c in plays.columns]
     return plays.select(*S.RAW_TYPES, *lineage, *extra_columns)

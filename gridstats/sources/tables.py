@@ -43,14 +43,15 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
 
 def replace_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
                   cluster_by: Sequence[str] = ()) -> None:
-    """Overwrite the table, optionally range-clustered.
+    """Overwrite the table, optionally clustered.
 
-    Clustering puts neighbouring keys into the same file: later group-bys on a
-    prefix of ``cluster_by`` combine nearly everything on the map side, and
-    filters on it skip row groups. The range bounds are taken over the whole
-    key, so no leading value, however frequent, has to fit into one task.
+    Clustering puts rows of one key into the same file, in order: later group-bys
+    on ``cluster_by`` combine nearly everything on the map side, and filters on it
+    skip row groups. Adaptive execution splits oversized partitions, so no key,
+    however frequent, has to fit into one task, and nothing is sampled: the plan
+    below runs once.
     """
     if cluster_by:
         columns = [*partition_by, *cluster_by]
-        df = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+        df = rebalanced(df, *columns).sortWithinPartitions(*columns)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

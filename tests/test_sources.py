@@ -2,7 +2,6 @@ import pytest
 
 from conftest import plan_of
 from gridstats import schema as S
-from gridstats.sources.jdbc import season_predicates, select_query
 from gridstats.sources.lineitem_plays import plays_from_lineitem
 from gridstats.sources.plays import read_plays
 from gridstats.sources.tables import (
@@ -83,13 +82,3 @@ def test_clustered_files_cover_disjoint_key_ranges(spark, tmp_path):
     ranges = sorted((r["lo"], r["hi"]) for r in read_table(spark, path).groupBy(
         F.input_file_name()).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect())
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
-
-
-def test_jdbc_reads_are_split_by_season():
-    assert season_predicates([2025, 2024, 2025]) == [
-        "season = 2024", "season = 2025", "season IS NULL OR season NOT IN (2024, 2025)"]
-
-
-def test_jdbc_pushes_columns_and_distinct():
-    assert select_query("raw_plays", ["game_id", "desc"], distinct=True) == (
-        '(SELECT DISTINCT "game_id", "desc" FROM raw_plays) AS t')
