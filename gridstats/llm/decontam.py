@@ -234,7 +234,9 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
     if not candidates:
         return
     seen: set[tuple[int, int, int]] = set()
-    for owner, place in np.unique(np.concatenate(candidates, axis=1), axis=1).T.tolist():
+    spans_of: dict[int, list[tuple[int, int]]] = {}     # of the document at hand
+    by_place = np.unique(np.concatenate(candidates, axis=1)[::-1], axis=1)
+    for place, owner in by_place.T.tolist():
         item_id, item = index.items[owner]
         allowed = int(max_edit_share * len(item))
         # The anchor, not the estimated start, is surely inside the document.
@@ -256,7 +258,9 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
         if hit in seen:
             continue
         seen.add(hit)
-        spans = [m.span() for m in re.finditer(r"\S+", texts[first + doc])]
+        if doc not in spans_of:
+            spans_of = {doc: [m.span() for m in re.finditer(r"\S+", texts[first + doc])]}
+        spans = spans_of[doc]
         found[first + doc].append({
             "item_id": item_id, "start_word": int(start), "end_word": hit[2],
             "start": spans[start][0], "end": spans[hit[2] - 1][1],

@@ -1,0 +1,366 @@
+"""Every operator against a brute-force version, a round trip or held-out labels."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from gridstats.llm import decontam, pii, simhash, tokencount, tokenfile, toxicity, warc
+from gridstats.llm import queries as Q
+from gridstats.llm.quality import BUCKETS, SMOOTHING, THRESHOLD
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    return {r["doc_id"]: r for r in rows}
+
+
+def by_id(spark, sf_dir, name, key="doc_id"):
+    return {r[key]: r for r in Q.QUERIES[name](spark, sf_dir).collect()}
+
+
+def test_simhash(spark, sf_dir, docs):
+    def brute(text):
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        grams = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or (
+            [" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    got = by_id(spark, sf_dir, "op1_simhash")
+    prints = {i: brute(r["text"]) for i, r in docs.items()}
+    assert {i: r["fingerprint"] for i, r in got.items()} == {
+        i: f"{p:016x}" for i, p in prints.items()}
+    least = {i: i for i in prints}
+    for _ in prints:
+        new = {i: min(least[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= 3)
+               for i in prints}
+        if new == least:
+            break
+        least = new
+    assert {i: r["component_id"] for i, r in got.items()} == least
+
+
+@pytest.mark.parametrize("hot", [2, 10**6])
+def test_gray_index_finds_all_links(spark, hot):
+    random_ = np.random.default_rng(hot)
+    centres = random_.integers(0, 1 << 63, 20, np.uint64)
+    codes = {int(c) for c in centres}
+    for c in centres.tolist():
+        for _ in range(30):
+            codes.add(c ^ sum(1 << int(b) for b in random_.choice(64, random_.integers(1, 6),
+                                                                  replace=False)))
+    codes = sorted(codes)
+    table = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in codes], "fp long")
+    links = simhash.links(table, hot_group=hot)
+    root = {c: c for c in codes}
+    for r in simhash.components(links).collect():
+        root[r["node"] % (1 << 64)] = r["root"] % (1 << 64)
+    label = np.arange(len(codes))
+    near = [(i, j) for i in range(len(codes)) for j in range(i)
+            if (codes[i] ^ codes[j]).bit_count() <= 3]
+    label = simhash._forest(np.array(near).T, label)
+    groups = {}
+    for c, g in zip(codes, label):
+        groups.setdefault(g, set()).add(c)
+    found = {}
+    for c, g in root.items():
+        found.setdefault(g, set()).add(c)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, found.values()))
+    assert links.count() < len(codes) * 50
+
+
+def test_personal_data_base_spans(spark, sf_dir, docs):
+    formats = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+               "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+               "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def brute(text):
+        out = []
+        for kind, pattern in formats.items():
+            for m in re.finditer(pattern, text):
+                d = re.sub("[^0-9]", "", m[0])
+                ok = {"email": True, "ip": kind == "ip" and all(
+                    int(p) <= 255 for p in m[0].split(".")),
+                    "card": 13 <= len(d) <= 19 and pii.luhn(d),
+                    "phone": 9 <= len(d) <= 15}[kind]
+                if ok:
+                    out.append(f"{kind}:{m.start()}:{m.end()}")
+        return out
+
+    rng = random.Random(1)
+    alphabet = list("ab.@@-+%0123456789.. ()\n")
+    made = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80))) for _ in range(3000)]
+    for text in made:
+        assert pii.joined(pii.base_spans(text)).split(",") == (brute(text) or [""])
+    got = by_id(spark, sf_dir, "op2_personal_data")
+    for i, r in docs.items():
+        base = brute(r["text"])
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(got[i]["spans"].split(",")) | {""}
+
+
+def test_tagger_finds_other_spellings():
+    tagger = pii.fit(*pii.training_windows([]))
+    rng, found, n = np.random.default_rng(5), 0, 200
+    for k in range(n):
+        kind = pii.KINDS[k % 4]
+        value = pii._respelled(kind, pii._made(kind, rng), rng)
+        text = f"some words before {value} and some words after it"
+        ((base, added),) = pii.find([text], tagger)
+        found += any(x[0] == kind and text[x[1]:x[2]] == value for x in base + added)
+    assert found > 0.7 * n
+    plain = "no such thing in here, only words and a number 42 or a year 1999"
+    assert pii.find([plain], tagger) == [([], [])]
+
+
+def test_tagger_gradients():
+    rng = np.random.default_rng(0)
+    tagger = pii.Tagger.fresh(rng)
+    codes, gold = rng.integers(1, 90, (3, 6)), rng.integers(0, 9, (3, 6))
+
+    def loss():
+        scores, _ = tagger.scores(codes)
+        trans, ahead = tagger.weights["trans"], scores[0]
+        for t in range(1, 6):
+            ahead = np.log(np.exp(ahead[:, :, None] + trans).sum(1)) + scores[t]
+        total = np.log(np.exp(ahead).sum(1))
+        rows = np.arange(3)
+        path = sum(scores[t][rows, gold[:, t]] for t in range(6)) + sum(
+            trans[gold[:, t - 1], gold[:, t]] for t in range(1, 6))
+        return (total - path).mean()
+
+    grads = tagger.gradients(codes, gold)
+    for name, g in grads.items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        w = tagger.weights[name]
+        w[at] += 1e-5
+        up = loss()
+        w[at] -= 2e-5
+        down = loss()
+        w[at] += 1e-5
+        assert math.isclose((up - down) / 2e-5, g[at], rel_tol=1e-3, abs_tol=1e-7), name
+
+
+def test_toxicity_on_held_out_documents(spark):
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 9)))
+             for _ in range(300)]
+    rude = ["zgrumpf" + e for e in ("", "e", "er", "ing", "s", "ish")]
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(plain) for _ in range(rng.randint(10, 80))]
+        if i % 4 == 0:
+            for _ in range(2):
+                words[rng.randrange(len(words))] = rng.choice(rude[:4] if i % 5 else rude)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, known.where("doc_id % 5 <> 0"))
+    scored = toxicity.with_toxicity(docs.where("doc_id % 5 = 0"), model).collect()
+    right = sum((r["toxicity"] >= 0.5) == (r["doc_id"] % 4 == 0) for r in scored)
+    assert right >= 0.95 * len(scored)
+
+
+def test_kneser_ney_sums_to_one():
+    counts = {"\x02a": (3, 1), "\x02b": (0, 2), "\x02aa": (2, 0), "\x02a\x03": (1, 1)}
+    levels = toxicity._backoff(counts)
+    total = sum(toxicity._shared(c, levels, len(levels) - 1) for c in map(chr, range(256)))
+    assert math.isclose(total, 1.0, rel_tol=1e-9)
+
+
+def test_quality_rules(spark, sf_dir, docs):
+    trusted = {r["doc_id"] for r in Q.trusted_documents(spark, sf_dir).collect()}
+
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+
+    def pair(a, b):
+        # A hash of two longs: the first seeds the second.
+        h = xxhash.xxh64_intdigest((a % (1 << 64)).to_bytes(8, "little"), 42)
+        return signed(xxhash.xxh64_intdigest((b % (1 << 64)).to_bytes(8, "little"), h))
+
+    every, good, grams = Counter(), Counter(), {}
+    for i, r in docs.items():
+        one = [signed(xxhash.xxh64_intdigest(w, 42)) for w in WORD.findall(r["text"])]
+        grams[i] = [h % BUCKETS for h in one + [pair(a, b) for a, b in zip(one, one[1:])]]
+        every.update(grams[i])
+        if i in trusted:
+            good.update(grams[i])
+
+    def ratio(b):
+        return (math.log((good[b] + SMOOTHING) / (good.total() + SMOOTHING * BUCKETS))
+                - math.log((every[b] + SMOOTHING) / (every.total() + SMOOTHING * BUCKETS)))
+
+    for i, r in by_id(spark, sf_dir, "op4_quality_rules").items():
+        text = docs[i]["text"]
+        words = WORD.findall(text)
+        windows = Counter(tuple(words[k:k + 5]) for k in range(len(words) - 4))
+        covered = {k + d for k in range(len(words) - 4)
+                   if windows[tuple(words[k:k + 5])] > 1 for d in range(5)}
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        score = sum(map(ratio, grams[i])) / len(grams[i]) if words else 0.0
+        failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"],
+                r["n_repeat_words"], r["base_failed"]) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            len(lines) - len(set(lines)), len(covered), failed)
+        assert math.isclose(r["score"], score, abs_tol=1e-9)
+        assert r["kept"] == (not failed and score >= THRESHOLD)
+
+
+def test_token_counts(spark, sf_dir, docs):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    counter, rng = tokencount.PieceCounter(path), random.Random(2)
+    parts = list(" ▁ab\n\té日x.,1<>/s") + ["the", " of", "tion", "    "]
+    for _ in range(2000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+        assert counter.count(text) == len(library.encode(text)), repr(text)
+    for i, r in by_id(spark, sf_dir, "op5_token_counts").items():
+        n = len(library.encode(docs[i]["text"]))
+        assert (r["n_tokens"], r["over_limit"]) == (n, n > 4096)
+        assert r["n_bytes"] == len(docs[i]["text"].encode())
+
+
+def test_mixing(spark, sf_dir, docs):
+    got = by_id(spark, sf_dir, "op6_mixing")
+    size = {i: len(WORD.findall(r["text"])) for i, r in docs.items()}
+    per = Counter()
+    for i, r in docs.items():
+        per[r["source"]] += size[i]
+    names = sorted(per)
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    full = set()
+    while True:
+        left = 1.5 * sum(per.values()) - sum(2 * per[s] for s in full)
+        share = {s: left * weight[s] / sum(weight[x] for x in names if x not in full)
+                 for s in names if s not in full}
+        over = {s for s in share if share[s] > 2 * per[s]}
+        if not over:
+            break
+        full |= over
+    target = {s: 2.0 * per[s] if s in full else share[s] for s in names}
+    taken = Counter()
+    for i, r in got.items():
+        s = docs[i]["source"]
+        assert (r["size"], r["source_size"]) == (size[i], per[s])
+        assert math.isclose(r["target"], target[s], rel_tol=1e-9)
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= 0.02 * per[s] for s in names)
+    again = by_id(spark, sf_dir, "op6_mixing")
+    assert again == got
+
+
+def test_sharding(spark, sf_dir, docs):
+    got = by_id(spark, sf_dir, "op7_sharding")
+    size, slots = Counter(), {}
+    for i, r in got.items():
+        text = docs[i]["text"].encode()
+        assert (r["size"], r["text_crc32"]) == (len(text) + 1, zlib.crc32(text))
+        size[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert set(size) == set(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    largest = max(r["size"] for r in got.values())
+    mean = sum(size.values()) / 16
+    assert max(abs(s - mean) for s in size.values()) <= 1.5 * largest + mean / 32
+
+
+@pytest.mark.parametrize("share,least", [(0.0, 1.0), (0.1, 0.95), (0.2, 0.9)])
+def test_passages_are_found_under_edits(spark, sf_dir, docs, share, least):
+    items = [(r["item_id"], r["text"]) for r in
+             decontam.benchmark_table(spark, sf_dir).collect()]
+    index, rng, found = decontam.ItemIndex(items), random.Random(3), 0
+    background = list(docs.values())
+    for k, text in items:
+        words = text.split()
+        for _ in range(int(len(words) * share)):
+            words[rng.randrange(len(words))] = f"zz{rng.randrange(9999)}"
+        around = rng.choice(background)["text"].split()[:200]
+        doc = " ".join(around[:100] + words + around[100:])
+        (rows,) = decontam.find([doc], index, decontam.Words())
+        found += any(r["item_id"] == k for r in rows)
+    assert found >= least * len(items)
+
+
+def test_edit_distance():
+    rng = np.random.default_rng(6)
+
+    def brute(item, region):
+        row = [0] * (len(region) + 1)
+        for i, a in enumerate(item, 1):
+            new = [i]
+            for j, b in enumerate(region, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+            row = new
+        return min((d, j) for j, d in enumerate(row))
+
+    for _ in range(300):
+        item = rng.integers(0, 4, rng.integers(1, 12))
+        region = rng.integers(0, 4, rng.integers(0, 20))
+        assert decontam.best_match(item, region) == brute(item, region)
+
+
+def test_archives(spark, sf_dir):
+    pages = {r["page_id"]: r["html"].encode() for r in
+             spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    latest = {}
+    for i, html in pages.items():
+        latest[html] = max(i, latest.get(html, i))
+    for i, r in by_id(spark, sf_dir, "op9_warc", "page_id").items():
+        html = pages[i]
+        first = latest[html] if len(html) >= 1000 else i
+        assert (r["payload_bytes"], r["payload_digest"]) == (
+            len(html), hashlib.sha1(html).hexdigest())
+        assert (r["record_type"], r["refers_to"]) == (
+            ("response", None) if first == i else ("revisit", first))
+
+
+def test_ranges_own_the_records_that_start_in_them(tmp_path):
+    magic = warc.MAGIC * 50
+    records = [warc.encode_record(i, f"u{i}", magic * i + b"\r\n\r\n", None, False)
+               for i in range(40)]
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(b"".join(records))
+    size = path.stat().st_size
+    for step in (1, 7, 100, 1000, size):
+        ids = [warc.decode_record(d)["page_id"] for s in range(0, size, step)
+               for d in warc.records_in(f"file://{path}", s, s + step)]
+        assert ids == list(range(40))
+
+
+def test_token_files(spark, sf_dir, docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got, at = by_id(spark, sf_dir, "op10_token_files"), 0
+    for i in sorted(docs):
+        ids = np.array(library.encode(docs[i]["text"], add_special_tokens=False).ids + [0], "<u4")
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (
+            at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+@pytest.mark.parametrize("planes", ["bits", "bytes"])
+@pytest.mark.parametrize("count", [1, 7, 8, 1000])
+def test_planes_round_trip(planes, count):
+    rng = np.random.default_rng(count)
+    for bits in (1, 8, 16, 32):
+        ids = rng.integers(0, 1 << bits, count).astype("<u4")
+        back = tokenfile.from_planes(tokenfile.to_planes(ids, planes), count, planes)
+        assert (back == ids).all()
