@@ -21,7 +21,7 @@ WEIGHTS = (3, 1, 2)        # of sources in code point order, repeating
 SHARE_PERCENT = 150        # of all words that the mix holds
 CAP = 2                    # times its size that a source may give
 BLOCK_TOKENS = 512
-LEAST_BLOCKS = 64          # smaller streams get smaller blocks, to stay near targets
+LEAST_BLOCKS = 256         # smaller streams get smaller blocks, to stay near targets
 SHARD_WORDS = 5_000_000    # bounds the rows that are ordered together
 MAX_SOURCES = 100_000      # sources are categories; the table of them is ordered as one
 
