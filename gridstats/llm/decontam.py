@@ -30,7 +30,7 @@ LEAST_SIZE = 8             # of windows of items with LONG_ITEM words or more
 LONG_ITEM = 12
 RADIUS = 2                 # neighbours on either side that an anchor beats
 WALKS = 2
-TABLES = 6                 # per walk and size
+TABLES = 10                # per walk and size
 SAMPLES = 6                # output positions per table
 STEPS_PER_WORD = 1.6       # a walk reads half a word per step
 MAX_ITEM_WORDS = 512       # longer items are looked for piece by piece
