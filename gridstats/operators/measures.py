@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,3 +34,34 @@ def dependent(column: str) -> Column:
 
 def n_rows(alias: str) -> Column:
     return F.expr(f"count(*) AS {alias}")
+
+
+def parts(*, sums: Iterable[str], means: Iterable[str], officials: Iterable[str]) -> list[Column]:
+    """Partial sums and counts that ``Folded`` turns into the measures above."""
+    return [
+        *[F.expr(f"sum({c}) AS {c}_sum") for c in (*sums, *means)],
+        *[F.expr(f"count({c}) AS {c}_n") for c in means],
+        *[official(c, f"{c}_official") for c in officials],
+        n_rows("rows_n"),
+    ]
+
+
+class Folded:
+    """The measures over partial sums in place of plays."""
+
+    @staticmethod
+    def total(column: str, alias: str | None = None) -> Column:
+        return total(f"{column}_sum", alias or column)
+
+    @staticmethod
+    def official(column: str, alias: str | None = None) -> Column:
+        return total(f"{column}_official", alias or column)
+
+    @staticmethod
+    def mean(column: str, alias: str | None = None) -> Column:
+        return round_half_even(F.expr(f"try_divide(sum({column}_sum), sum({column}_n))"),
+                               MEAN_PLACES).alias(alias or column)
+
+    @staticmethod
+    def n_rows(alias: str) -> Column:
+        return total("rows_n", alias)

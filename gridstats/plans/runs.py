@@ -21,7 +21,7 @@ from gridstats.operators.quality import CRITICAL_COLUMNS, null_counts
 from gridstats.plans.form import game_momentum, season_progression
 from gridstats.plans.layers import new_plays, silver_plays
 from gridstats.plans.performance import qb_performance
-from gridstats.plans.splits import SPLIT_TABLES, build
+from gridstats.plans.splits import SPLIT_TABLES, build, family_of, partial_sums
 from gridstats.sources.tables import (
     append_table, read_table, read_table_if_any, rebalanced, replace_table)
 
@@ -122,6 +122,9 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
     read the stored performance table, so ask for it in the same or an earlier
     run. ``extra_keys`` splits the split tables further, for instance by season.
     Silver of a single player needs that ``player``.
+
+    Tables of a family are folded from its partial sums, stored beside them as
+    ``partial_<family>``, so all fourteen tables read silver six times.
     """
     unknown = sorted(set(tables) - set(GOLD_TABLES))
     if unknown:
@@ -132,7 +135,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
     by_player = S.PLAYER in silver.columns
     if not by_player and player is None:
         raise ValueError("silver has no player column: name the player")
-    written = []
+    written, partials = [], {}
     for name in (t for t in GOLD_TABLES if t in tables):
         if name == PERFORMANCE:
             table = qb_performance(silver, team=team, player=player, loaded_at=loaded_at)
@@ -141,6 +144,13 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
             if games is None:
                 continue
             table = FORM_TABLES[name](games, by_player=by_player)
+        elif family := family_of(name):
+            if family not in partials:
+                path = f"{gold_path.rstrip('/')}/partial_{family}"
+                replace_table(partial_sums(family, silver, extra_keys=extra_keys), path)
+                partials[family] = read_table(spark, path)
+            table = build(name, partials[family], player=player, extra_keys=extra_keys,
+                          loaded_at=loaded_at, folded=True)
         else:
             table = build(name, silver, team=team, player=player, extra_keys=extra_keys,
                           loaded_at=loaded_at)

@@ -1,7 +1,9 @@
 """The eleven split tables: one grouped aggregation each over silver plays.
 
 A table is a declaration (filters, keys, measures, rates, order); ``build`` is
-the only code. All aggregates have fixed-width buffers, so Spark combines them
+the only code. Tables with few groups and the same plays form a family: they are
+folded from one stored table of partial sums, so silver is read once for all of
+them. All aggregates have fixed-width buffers, so Spark combines them
 in a hash map on the map side and ships one row per group and task: a group
 that holds a large share of all plays costs no more than any other.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +21,15 @@ from pyspark.sql import functions as F
 from gridstats.functions import football as fb
 from gridstats.functions.numeric import rounded_ratio
 from gridstats.operators.bronze import timestamp_column
-from gridstats.operators.measures import dependent, mean, n_rows, official, total
+from gridstats.operators import measures
+from gridstats.operators.measures import Folded, parts
 from gridstats.schema import PLAYER
 
 
 @dataclass(frozen=True)
 class SplitTable:
     keys: tuple[str, ...]
-    measures: Callable[[], list[Column]]
+    measures: Callable[[Any], list[Column]]
     rates: tuple[str, ...] = ()
     where: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
@@ -51,29 +55,29 @@ RED_ZONE = "is_redzone = 1"
 RUSHING = ("rush_attempt", "rushing_yards", "rush_touchdown")
 
 
-def _totals(*columns: str) -> list[Column]:
-    return [total(c) for c in columns]
+def _totals(m, *columns: str) -> list[Column]:
+    return [m.total(c) for c in columns]
 
 
-def _pressure(*, gained: bool, air: bool, week: bool = False) -> list[Column]:
+def _pressure(m, *, gained: bool, air: bool, week: bool = False) -> list[Column]:
     """Measures common to the pressure tables, with their optional members."""
     return [
-        *([dependent("week")] if week else []),
-        mean("epa"), mean("cpoe"),
-        *([mean("yards_gained", "avg_yards_gained")] if gained else []),
-        official("pass_attempt"),
-        *_totals("complete_pass", "pass_touchdown", "interception", "passing_yards"),
-        *(_totals("air_yards", "yards_after_catch") if air else []),
-        *_totals(*RUSHING),
-        total("qb_dropback", "total_dropbacks"),
-        *_totals("qb_scramble", "sack"),
-        n_rows("n_plays"),
+        *([m.dependent("week")] if week else []),
+        m.mean("epa"), m.mean("cpoe"),
+        *([m.mean("yards_gained", "avg_yards_gained")] if gained else []),
+        m.official("pass_attempt"),
+        *_totals(m, "complete_pass", "pass_touchdown", "interception", "passing_yards"),
+        *(_totals(m, "air_yards", "yards_after_catch") if air else []),
+        *_totals(m, *RUSHING),
+        m.total("qb_dropback", "total_dropbacks"),
+        *_totals(m, "qb_scramble", "sack"),
+        m.n_rows("n_plays"),
     ]
 
 
-def _receiving(*sums: str, cpoe: bool = False) -> list[Column]:
-    return [mean("epa"), *([mean("cpoe")] if cpoe else []),
-            official("pass_attempt"), *_totals(*sums), n_rows("n_targets")]
+def _receiving(m, *sums: str, cpoe: bool = False) -> list[Column]:
+    return [m.mean("epa"), *([m.mean("cpoe")] if cpoe else []),
+            m.official("pass_attempt"), *_totals(m, *sums), m.n_rows("n_targets")]
 
 
 CAUGHT = ("complete_pass", "pass_touchdown", "passing_yards")
@@ -82,74 +86,127 @@ SPLIT_TABLES: Mapping[str, SplitTable] = {
     "situational_splits": SplitTable(
         where=(KNOWN_DOWN,),
         keys=("down", "score_bucket", "quarter", "home_or_away"),
-        measures=lambda: [
-            mean("epa"), official("pass_attempt"), total("complete_pass"),
-            official("passing_yards"),
-            *_totals("pass_touchdown", "interception", "sack", *RUSHING),
-            n_rows("n_plays")],
+        measures=lambda m: [
+            m.mean("epa"), m.official("pass_attempt"), m.total("complete_pass"),
+            m.official("passing_yards"),
+            *_totals(m, "pass_touchdown", "interception", "sack", *RUSHING),
+            m.n_rows("n_plays")],
         rates=("completion_pct", "yards_per_attempt", "yards_per_carry")),
     "efficiency_profile": SplitTable(
         where=(PASS_PLAY, "pass_length IS NOT NULL"),
         keys=("game_id", "pass_length", "pass_location"),
-        measures=lambda: [
-            official("pass_attempt"),
-            *_totals("complete_pass", "air_yards", "yards_after_catch",
+        measures=lambda m: [
+            m.official("pass_attempt"),
+            *_totals(m, "complete_pass", "air_yards", "yards_after_catch",
                      "pass_touchdown", "interception"),
-            mean("epa"), mean("cpoe"), n_rows("n_plays")],
+            m.mean("epa"), m.mean("cpoe"), m.n_rows("n_plays")],
         rates=("completion_pct", "air_yards_per_attempt", "yac_per_reception"),
         order=("game_id",), player_column=False),
     "pressure_overview": SplitTable(
         where=(KNOWN_DOWN,), keys=("pressure_type",),
-        measures=lambda: _pressure(gained=True, air=True),
+        measures=lambda m: _pressure(m, gained=True, air=True),
         rates=("completion_pct", "yards_per_attempt", "air_yards_per_attempt",
                "yards_per_carry")),
     "pressure_by_down": SplitTable(
         where=(KNOWN_DOWN,), keys=("pressure_type", "down"),
-        measures=lambda: _pressure(gained=True, air=True),
+        measures=lambda m: _pressure(m, gained=True, air=True),
         rates=("completion_pct", "yards_per_carry"),
         order=("down", "pressure_type")),
     "pressure_by_quarter": SplitTable(
         where=(KNOWN_DOWN,), keys=("pressure_type", "quarter"),
-        measures=lambda: _pressure(gained=False, air=False),
+        measures=lambda m: _pressure(m, gained=False, air=False),
         rates=("completion_pct", "yards_per_carry"),
         order=("quarter", "pressure_type")),
     "pressure_by_opponent": SplitTable(
         where=(KNOWN_DOWN,), keys=("game_id", "pressure_type", "opponent_team"),
-        measures=lambda: _pressure(gained=False, air=True, week=True),
+        measures=lambda m: _pressure(m, gained=False, air=True, week=True),
         rates=("completion_pct", "yards_per_attempt", "yards_per_carry"),
         order=("week", "opponent_team", "pressure_type")),
     "pressure_air_yards": SplitTable(
         where=(KNOWN_DOWN, PASS_PLAY), keys=("pressure_type",),
-        measures=lambda: [
-            official("pass_attempt"), mean("air_yards", "avg_air_yards"),
-            mean("yards_after_catch", "avg_yac"),
-            total("qb_dropback", "total_dropbacks"), n_rows("n_plays")]),
+        measures=lambda m: [
+            m.official("pass_attempt"), m.mean("air_yards", "avg_air_yards"),
+            m.mean("yards_after_catch", "avg_yac"),
+            m.total("qb_dropback", "total_dropbacks"), m.n_rows("n_plays")]),
     "receiver_overview": SplitTable(
         where=(KNOWN_RECEIVER, KNOWN_DOWN), keys=("receiver_player_name",),
-        measures=lambda: _receiving(*CAUGHT, "air_yards", "yards_after_catch", cpoe=True),
+        measures=lambda m: _receiving(m, *CAUGHT, "air_yards", "yards_after_catch", cpoe=True),
         rates=("completion_pct", "air_yards_per_target", "yac_per_reception",
                "yards_per_reception"),
         order=("-epa",)),
     "receiver_by_down": SplitTable(
         where=(KNOWN_RECEIVER, KNOWN_DOWN), keys=("receiver_player_name", "down"),
-        measures=lambda: _receiving(*CAUGHT, "air_yards"),
+        measures=lambda m: _receiving(m, *CAUGHT, "air_yards"),
         rates=("completion_pct", "air_yards_per_target"),
         order=("receiver_player_name", "down")),
     "receiver_by_situation": SplitTable(
         where=(KNOWN_RECEIVER, KNOWN_DOWN), keys=("receiver_player_name", "score_bucket"),
-        measures=lambda: _receiving(*CAUGHT), rates=("completion_pct",),
+        measures=lambda m: _receiving(m, *CAUGHT), rates=("completion_pct",),
         order=("receiver_player_name", "score_bucket")),
     "receiver_redzone": SplitTable(
         where=(KNOWN_RECEIVER, KNOWN_DOWN, RED_ZONE), keys=("receiver_player_name",),
-        measures=lambda: _receiving(*CAUGHT), rates=("completion_pct",),
+        measures=lambda m: _receiving(m, *CAUGHT), rates=("completion_pct",),
         order=("-pass_touchdown",)),
 }
 
 
+@dataclass(frozen=True)
+class Family:
+    """Tables that are folded from partial sums over the keys of them all."""
+
+    tables: tuple[str, ...]
+    keys: tuple[str, ...]
+    where: tuple[str, ...]
+    sums: tuple[str, ...]
+    means: tuple[str, ...]
+
+
+# No key of a game is among them: partial sums by game are as many as the plays.
+FAMILIES: Mapping[str, Family] = {
+    "pressure": Family(
+        tables=("pressure_overview", "pressure_by_down", "pressure_by_quarter",
+                "pressure_air_yards"),
+        keys=("pressure_type", "down", "quarter", "pass_attempt"),
+        where=(KNOWN_DOWN,),
+        sums=("complete_pass", "pass_touchdown", "interception", "passing_yards",
+              *RUSHING, "qb_dropback", "qb_scramble", "sack"),
+        means=("epa", "cpoe", "yards_gained", "air_yards", "yards_after_catch")),
+    "receivers": Family(
+        tables=("receiver_overview", "receiver_by_down", "receiver_by_situation",
+                "receiver_redzone"),
+        keys=("receiver_player_name", "down", "score_bucket", "is_redzone"),
+        where=(KNOWN_RECEIVER, KNOWN_DOWN),
+        sums=CAUGHT, means=("epa", "cpoe", "air_yards", "yards_after_catch")),
+}
+
+
+def family_of(name: str) -> str | None:
+    return next((f for f, family in FAMILIES.items() if name in family.tables), None)
+
+
+def _derived(plays: DataFrame, keys: Sequence[str], team: str | Column | None) -> DataFrame:
+    derived = {"pressure_type": fb.pressure_type, "score_bucket": fb.score_bucket,
+               "home_or_away": lambda: fb.home_or_away(
+                   F.lit(team) if isinstance(team, str) else team)}
+    return plays.withColumns({key: derived[key]() for key in keys if key in derived})
+
+
+def partial_sums(family: str, plays: DataFrame, *,
+                 extra_keys: Sequence[str] = ()) -> DataFrame:
+    """What all tables of the family can be folded from, see ``build``."""
+    f = FAMILIES[family]
+    for condition in f.where:
+        plays = plays.where(condition)
+    by_player = [PLAYER] if PLAYER in plays.columns else []
+    return _derived(plays, f.keys, None).groupBy(*by_player, *extra_keys, *f.keys).agg(
+        *parts(sums=f.sums, means=f.means, officials=("pass_attempt",)))
+
+
 def build(name: str, plays: DataFrame, *, team: str | Column | None = None,
           player: str | None = None, extra_keys: Sequence[str] = (),
-          loaded_at: datetime | None = None) -> DataFrame:
-    """The split table ``name`` over silver plays.
+          loaded_at: datetime | None = None, folded: bool = False) -> DataFrame:
+    """The split table ``name`` over silver plays, or, with ``folded``, over the
+    partial sums of its family with the same ``extra_keys``.
 
     With a ``player_name`` column in ``plays`` the table is keyed by player
     first; without one, ``player`` is written to every row. ``extra_keys``
@@ -162,16 +219,13 @@ def build(name: str, plays: DataFrame, *, team: str | Column | None = None,
     for condition in table.where:
         chosen = chosen.where(condition)
 
-    derived = {"pressure_type": fb.pressure_type, "score_bucket": fb.score_bucket,
-               "home_or_away": lambda: fb.home_or_away(
-                   F.lit(team) if isinstance(team, str) else team)}
     if "home_or_away" in table.keys and team is None:
         raise ValueError(f"{name} needs the team whose home games count as such")
-    chosen = chosen.withColumns(
-        {key: derived[key]() for key in table.keys if key in derived})
+    if not folded:
+        chosen = _derived(chosen, table.keys, team)
 
     keys = [*([PLAYER] if by_player else []), *extra_keys, *table.keys]
-    grouped = chosen.groupBy(*keys).agg(*table.measures())
+    grouped = chosen.groupBy(*keys).agg(*table.measures(Folded if folded else measures))
     literal_player = table.player_column and not by_player
     return grouped.select(
         "*",

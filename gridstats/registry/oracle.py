@@ -39,7 +39,7 @@ raw AS (
     season_no || '_' || lpad(CAST(wk AS VARCHAR), 2, '0') || '_' || l_suppkey
       || '_' || (l_orderkey * 8 + l_linenumber) // 2147483647 AS game_id,
     CAST((l_orderkey * 8 + l_linenumber) % 2147483647 AS INTEGER) AS play_id,
-    season_no AS season, wk AS "week",
+    season_no AS season, wk AS "week", CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS game_date,
     CASE WHEN wk <= 10 THEN 'REG' ELSE 'POST' END AS season_type,
     CASE WHEN at_home THEN 'NE' ELSE opp END AS home_team,
     CASE WHEN at_home THEN opp ELSE 'NE' END AS away_team,
@@ -66,6 +66,7 @@ raw AS (
     CAST(sk AS INTEGER) AS sack,
     CASE WHEN p THEN (l_partkey % 17 - 8) / 2.0::DOUBLE END AS cpoe,
     CASE WHEN p AND NOT sk THEN ['left','middle','right'][l_partkey % 3 + 1] END AS pass_location,
+    CASE WHEN (cp AND qty >= 47) OR (r AND qty >= 48) THEN 'NE' END AS td_team,
     CASE WHEN (cp AND qty >= 47) OR (r AND qty >= 48) THEN s_name END AS td_player_name,
     CASE WHEN p AND NOT sk THEN CASE WHEN l_partkey % 40 > 20 THEN 'deep' ELSE 'short' END END AS pass_length,
     CAST(p AND tax >= 6 AS INTEGER) AS qb_hit,
@@ -290,6 +291,56 @@ def _with(steps: str, select: str) -> str:
 
 PRESSURE_KEY = f"{PRESSURE} AS pressure_type"
 
+# --- whole rows, and rates that are not finite ---------------------------------
+
+_TEXTS = ("player_name", "game_id", "season_type", "home_team", "away_team",
+          "receiver_player_name", "play_type", "pass_location", "pass_length",
+          "td_team", "td_player_name")
+_FLAGS = ("pass_attempt", "complete_pass", "pass_touchdown", "interception", "sack",
+          "qb_hit", "qb_scramble", "qb_dropback", "rush_attempt", "rush_touchdown",
+          "fumble", "fumble_forced", "fumble_not_forced", "fumble_lost",
+          "fumble_out_of_bounds")
+_YARDS = ("yards_gained", "passing_yards", "air_yards", "rushing_yards")
+_VALUES = ("epa", "qb_epa", "air_epa", "yac_epa", "xyac_epa", "cpoe", "yards_after_catch")
+
+
+def _as(sql_type: str, *columns: str) -> str:
+    return ", ".join(f'CAST("{c}" AS {sql_type}) AS "{c}"' for c in columns)
+
+
+def _nonfinite(table: str, source: str, rates: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{rate}' AS rate, count(*) FILTER (WHERE isnan(x)) AS n_nan, "
+        f"count(*) FILTER (WHERE x = 'Infinity'::DOUBLE) AS n_positive, "
+        f"count(*) FILTER (WHERE x = '-Infinity'::DOUBLE) AS n_negative, "
+        f"count(*) FILTER (WHERE x IS NULL) AS n_null, count(*) AS n_rows, "
+        f"'{table}' AS table_name FROM (SELECT {x} AS x FROM {source})"
+        for rate, x in rates.items())
+
+
+def _filled(n: str, d: str) -> str:
+    return f"CASE WHEN {n} = 0 AND {d} = 0 THEN 0.0::DOUBLE ELSE {ratio(n, d)} END"
+
+
+_COMPLETED = _filled("complete_pass", "pass_attempt")
+_PER_ATTEMPT = _filled("passing_yards", "pass_attempt")
+_PER_CARRY = _filled("rushing_yards", "rush_attempt")
+_AIR_PER_ATTEMPT = _filled("air_yards", "pass_attempt")
+_YAC_PER_CATCH = _filled("yards_after_catch", "complete_pass")
+
+_GROUPED_SUMS = (f"{official('pass_attempt')}, {official('passing_yards', 'official_yards')}, "
+                 + sums("complete_pass", "passing_yards", "rushing_yards", "rush_attempt",
+                        "air_yards", "yards_after_catch"))
+NONFINITE = PERFORMANCE + f""",
+situations AS (SELECT player_name, down, {BUCKET} AS bucket, quarter, {HOME} AS place,
+  {_GROUPED_SUMS} FROM silver WHERE down IS NOT NULL GROUP BY ALL),
+profiles AS (SELECT player_name, game_id, pass_length, pass_location, {_GROUPED_SUMS}
+  FROM silver WHERE pass_attempt = 1 AND pass_length IS NOT NULL GROUP BY ALL),
+pressures AS (SELECT player_name, {PRESSURE_KEY}, {_GROUPED_SUMS}
+  FROM silver WHERE down IS NOT NULL GROUP BY ALL),
+targets AS (SELECT player_name, receiver_player_name, {_GROUPED_SUMS}
+  FROM silver WHERE {TARGETED} GROUP BY ALL)"""
+
 ORACLE: dict[str, str] = {
     "src_season_scan": _with(RAW, """
 SELECT game_id, play_id, season, "week", play_type, epa, passer_player_name, rusher_player_name
@@ -337,6 +388,39 @@ SELECT count(*) AS n_plays, count(*) FILTER (WHERE game_id IS NULL) AS game_id_n
        count(*) FILTER (WHERE epa IS NULL) AS epa_nulls
 FROM fresh"""),
 
+    "bronze_plays": _with(FRESH + f""",
+filled AS (SELECT * REPLACE ({FILLS}) FROM fresh)""", f"""
+SELECT {_as("VARCHAR", *_TEXTS)}, defteam, yrdln, descr AS "desc", game_date,
+       CAST(NULL AS VARCHAR) AS two_point_conv_result, {_as("BIGINT", "play_id", "ingest_seq")},
+       {_as("INTEGER", "season")}, {_as("DOUBLE", "week", "drive", "qtr", "down",
+       "score_differential", "posteam_score", "defteam_score", *_FLAGS, *_YARDS, *_VALUES)}
+FROM filled"""),
+
+    "silver_plays": _with(SILVER, f"""
+SELECT {_as("VARCHAR", *_TEXTS)}, opponent_team, yard_line, play_description, game_date,
+       two_point_conv_result, {_as("INTEGER", "play_id", "season", "week", "drive", "quarter",
+       "down", "score_diff", "own_score", "opp_score", *_YARDS)},
+       {_as("DOUBLE", *_VALUES)}, {_as("TINYINT", "is_success", "is_redzone", *_FLAGS)}
+FROM silver"""),
+
+    "gold_nonfinite_counts": _with(NONFINITE, "\nUNION ALL\n".join([
+        _nonfinite("qb_performance", "perf", {
+            "completion_pct": "completion_pct", "yards_per_attempt": "yards_per_attempt",
+            "passer_rating": "passer_rating"}),
+        _nonfinite("situational_splits", "situations", {
+            "completion_pct": _COMPLETED, "yards_per_carry": _PER_CARRY,
+            "yards_per_attempt": _filled("official_yards", "pass_attempt")}),
+        _nonfinite("efficiency_profile", "profiles", {
+            "completion_pct": _COMPLETED, "air_yards_per_attempt": _AIR_PER_ATTEMPT,
+            "yac_per_reception": _YAC_PER_CATCH}),
+        _nonfinite("pressure_overview", "pressures", {
+            "completion_pct": _COMPLETED, "yards_per_attempt": _PER_ATTEMPT,
+            "air_yards_per_attempt": _AIR_PER_ATTEMPT, "yards_per_carry": _PER_CARRY}),
+        _nonfinite("receiver_overview", "targets", {
+            "completion_pct": _COMPLETED, "air_yards_per_target": _AIR_PER_ATTEMPT,
+            "yac_per_reception": _YAC_PER_CATCH,
+            "yards_per_reception": _filled("passing_yards", "complete_pass")})])),
+
     "silver_cast": _with(RAW, """
 SELECT ingest_seq, game_id, TRY_CAST(play_id AS TINYINT) AS play_id,
        TRY_CAST(trunc(epa) AS INTEGER) AS epa, TRY_CAST(yrdln AS INTEGER) AS yrdln,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,6 +117,15 @@ def bronze_null_report(spark, sf_dir):
     return null_report(new_plays(plays_from_lineitem(spark, sf_dir)))
 
 
+def bronze_plays_table(spark, sf_dir):
+    """Every column of bronze but its load stamp, under the types it is stored in;
+    the date is shown as text."""
+    bronze = bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD,
+                          unique_arrival=True)
+    return B.as_declared(bronze).drop(S.BRONZE_LOADED_AT).withColumn(
+        "game_date", F.col("game_date").cast("string"))
+
+
 # --- silver ------------------------------------------------------------------
 
 def silver_cast(spark, sf_dir):
@@ -145,6 +155,12 @@ def silver_features(spark, sf_dir):
         "is_success", "is_redzone", "two_point_conv_result")
 
 
+def silver_plays_table(spark, sf_dir):
+    """Every column of silver but its load stamp, the date as text."""
+    return _silver(spark, sf_dir).drop("silver_loaded_at").withColumn(
+        "game_date", F.col("game_date").cast("string"))
+
+
 # --- functions and aggregates ------------------------------------------------
 
 def official_pass_totals(spark, sf_dir):
@@ -256,6 +272,36 @@ def _split_query(name: str) -> Query:
     return split_table
 
 
+RATES_SEEN = {
+    "qb_performance": ("completion_pct", "yards_per_attempt", "passer_rating"),
+    "situational_splits": ("completion_pct", "yards_per_attempt", "yards_per_carry"),
+    "efficiency_profile": ("completion_pct", "air_yards_per_attempt", "yac_per_reception"),
+    "pressure_overview": ("completion_pct", "yards_per_attempt", "air_yards_per_attempt",
+                          "yards_per_carry"),
+    "receiver_overview": ("completion_pct", "air_yards_per_target", "yac_per_reception",
+                          "yards_per_reception"),
+}
+
+
+def gold_nonfinite_counts(spark, sf_dir):
+    """NaN, infinities and NULLs in the rates of five gold tables, as they are stored."""
+    silver = _silver(spark, sf_dir)
+
+    def counts(name: str, rates: tuple[str, ...]) -> DataFrame:
+        table = (qb_performance(silver, team=TEAM) if name == "qb_performance"
+                 else build(name, silver, team=TEAM))
+        value = F.col("value")
+        return table.select(F.inline(F.array(*[
+            F.struct(F.lit(rate).alias("rate"), F.col(rate).alias("value"))
+            for rate in rates]))).groupBy("rate").agg(
+                F.count_if(F.isnan(value)).alias("n_nan"),
+                F.count_if(value == F.lit(INF)).alias("n_positive"),
+                F.count_if(value == F.lit(-INF)).alias("n_negative"),
+                F.count_if(value.isNull()).alias("n_null"),
+                F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
+    return reduce(DataFrame.unionByName, [counts(*seen) for seen in RATES_SEEN.items()])
+
+
 QUERIES: dict[str, Query] = {
     **{query.__name__: query for query in (
         src_season_scan, bronze_recorded_keys, bronze_player_plays,
@@ -264,7 +310,9 @@ QUERIES: dict[str, Query] = {
         silver_cast, silver_dedup_last, silver_features,
         official_pass_totals, passer_rating, zero_division, score_bucket_counts,
         home_away_counts, pressure_type_counts, rolling4, cumulative,
-        sorted_receivers)},
+        sorted_receivers, gold_nonfinite_counts)},
+    "bronze_plays": bronze_plays_table,
+    "silver_plays": silver_plays_table,
     "qb_performance": qb_performance_table,
     "game_momentum": game_momentum_table,
     "season_progression": season_progression_table,

@@ -114,3 +114,29 @@ def test_unknown_gold_table_is_refused(spark, layers):
 
 def test_gold_path():
     assert gold_table_path("/w/gold/", "qb_performance") == "/w/gold/gold_qb_performance"
+
+
+def test_gold_reads_silver_six_times_and_folds_the_same_tables(
+        spark, layers, tmp_path, monkeypatch):
+    from gridstats.plans import runs, splits
+
+    writes = []
+
+    def counted(table, path, **options):
+        files = table.inputFiles()
+        writes.append(any(layers["silver"] in f for f in files))
+        replace_table(table, path, **options)
+
+    replace_table = runs.replace_table
+    monkeypatch.setattr(runs, "replace_table", counted)
+    stamp = datetime(2026, 1, 3)
+    run_gold(spark, layers["silver"], str(tmp_path), team=TEAM, extra_keys=["season"],
+             loaded_at=stamp)
+    assert sum(writes) == 6 and len(writes) == 16
+    silver = read_table(spark, layers["silver"])
+    for family in splits.FAMILIES.values():
+        for name in family.tables:
+            direct = splits.build(name, silver, extra_keys=["season"], loaded_at=stamp)
+            stored = read_gold(spark, str(tmp_path), name)
+            assert sorted(stored.dtypes) == sorted(direct.dtypes)
+            assert rows_of(stored) == rows_of(direct)
