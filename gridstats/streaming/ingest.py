@@ -54,10 +54,15 @@ def ingest_available(spark: SparkSession, source: str, bronze_path: str, *,
                      schema: str = S.RAW_DDL, checkpoint: str | None = None,
                      player: str | None = None, players: Iterable[str] | None = None,
                      loaded_at: datetime | None = None) -> StreamingQuery:
-    """Append what has arrived in ``source`` to bronze, then stop."""
+    """Append what has arrived in ``source`` to bronze, then stop.
+
+    ``schema`` tells the types of the files, whose flags may be floating-point;
+    bronze has the declared types whatever they are.
+    """
     stream = spark.readStream.schema(schema).parquet(source)
+    B.require_kinds(stream)
     unseen = unseen_plays(stream, player=player, players=players)
-    return (B.clean(unseen, loaded_at).writeStream
+    return (B.as_declared(B.clean(unseen, loaded_at)).writeStream
             .format("parquet").outputMode("append")
             .partitionBy("season")
             .option("checkpointLocation",

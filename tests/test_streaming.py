@@ -36,6 +36,18 @@ def test_stream_appends_unseen_plays_of_new_files(spark, sf_dir, tmp_path):
     assert n_every == n_again == len(expected)
 
 
+def test_float_flags_are_stored_under_the_declared_types(spark, sf_dir, tmp_path):
+    source, bronze = str(tmp_path / "source"), str(tmp_path / "bronze")
+    types = {c: "double" if t == "tinyint" else t for c, t in S.RAW_TYPES.items()}
+    plays_from_lineitem(spark, sf_dir, [1996]).selectExpr(
+        *[f"cast(`{c}` AS {t}) AS `{c}`" for c, t in types.items()]).write.parquet(source)
+    finish(ingest_available(
+        spark, source, bronze, checkpoint=str(tmp_path / "state"),
+        schema=", ".join(f"`{c}` {t}" for c, t in types.items())))
+    stored = dict(read_table(spark, bronze).dtypes)
+    assert all(stored[c] == t for c, t in S.BRONZE_TYPES.items() if c in stored)
+
+
 def test_checkpoint_lies_in_the_shared_directory(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_location(spark, "x") == f"{shared}/x"
