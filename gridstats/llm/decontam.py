@@ -218,6 +218,14 @@ def find(texts: list[str | None], index: ItemIndex, words: Words,
     return found
 
 
+def _candidates(anchor: np.ndarray, entry: np.ndarray, index, starts: np.ndarray) -> np.ndarray:
+    """Rows of (item, estimated start, document). The document is that of the anchor;
+    the start may lie before it, where the text lacks words of the item, and is clipped."""
+    doc = np.searchsorted(starts, anchor, "right") - 1
+    place = np.maximum(anchor - index.offsets[entry], starts[doc])
+    return np.stack([index.owners[entry], place, doc])
+
+
 def _search(texts, first, joined, starts, lengths, index, max_edit_share, found) -> None:
     places = [anchors(joined[s:s + n]) + s for s, n in zip(starts, lengths)]
     if len(index.seeds):
@@ -229,20 +237,15 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
         for _, keys in window_keys(joined, part, index.sizes):
             column, entry = index.lookup(keys)
             if len(column):
-                owner = index.owners[entry]
-                candidates.append(np.stack([owner, part[column] - index.offsets[entry]]))
+                candidates.append(_candidates(part[column], entry, index, starts))
     if not candidates:
         return
     seen: set[tuple[int, int, int]] = set()
     spans_of: dict[int, list[tuple[int, int]]] = {}     # of the document at hand
     by_place = np.unique(np.concatenate(candidates, axis=1)[::-1], axis=1)
-    for place, owner in by_place.T.tolist():
+    for doc, place, owner in by_place.T.tolist():
         item_id, item = index.items[owner]
         allowed = int(max_edit_share * len(item))
-        # The anchor, not the estimated start, is surely inside the document.
-        doc = int(np.searchsorted(starts, max(place, 0), "right")) - 1
-        if place + len(item) <= starts[doc] or place > starts[doc] + lengths[doc]:
-            continue
         low = max(starts[doc], place - allowed)
         high = min(starts[doc] + lengths[doc], place + len(item) + allowed)
         # Every word of the item that the region lacks is an edit.

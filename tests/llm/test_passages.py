@@ -1,0 +1,36 @@
+"""Benchmark passages at the edges of documents, long and short items, and recall."""
+
+import random
+
+import numpy as np
+import pytest
+
+from gridstats.llm import decontam
+
+
+def made(rng, n, vocabulary=100_000):
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+def ids(found):
+    return [{r["item_id"] for r in rows} for rows in found]
+
+
+@pytest.mark.parametrize("n", [15, 30, 59])
+def test_items_cut_at_either_end_of_a_document(n):
+    rng, missed = random.Random(n), 0
+    for _ in range(40):
+        item, other = made(rng, n), made(rng, 80)
+        index = decontam.ItemIndex([(7, " ".join(item))])
+        lost = int(0.2 * n)
+        texts = [" ".join(other), " ".join(item[lost:] + other), " ".join(item[1:]),
+                 " ".join(other + item[:n - lost]), " ".join(item[:-1])]
+        together = decontam.find(texts, index, decontam.Words())
+        alone = [decontam.find([t], index, decontam.Words())[0] for t in texts]
+        assert together == alone
+        assert not together[0]
+        missed += sum(not rows for rows in together[1:])
+        for rows, text in zip(together, texts):
+            for r in rows:
+                assert r["distance"] <= lost and r["end"] <= len(text)
+    assert missed <= 4
