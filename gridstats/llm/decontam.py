@@ -33,7 +33,7 @@ WALKS = 2
 TABLES = 10                # per walk and size
 SAMPLES = 6                # output positions per table
 STEPS_PER_WORD = 1.6       # a walk reads half a word per step
-MAX_ITEM_WORDS = 512       # longer items are looked for piece by piece
+LONG_SEARCH = 512          # starts of longer items are tried in steps, regions wider by one
 BLOCK_ITEMS = 20_000       # items searched for in one pass over the documents
 WORDS_AT_ONCE = 1 << 18
 ANCHORS_AT_ONCE = 1 << 15
@@ -129,8 +129,8 @@ class ItemIndex:
         self.items: list[tuple[int, np.ndarray]] = []
         for item_id, text in items:
             hashes = words((text or "").split())
-            for at in range(0, len(hashes), MAX_ITEM_WORDS):
-                self.items.append((item_id, hashes[at:at + MAX_ITEM_WORDS]))
+            if len(hashes):
+                self.items.append((item_id, hashes))
         keys, owners, offsets, seeds, used = [], [], [], set(), set()
         for number, (_, hashes) in enumerate(self.items):
             n = len(hashes)
@@ -160,6 +160,10 @@ class ItemIndex:
         self.offsets = (np.concatenate(offsets) if offsets else none)[order]
         self.seeds = np.array(sorted(seeds), np.uint64)
         self.sizes = tuple(sorted(used)) or SIZES[:1]
+        lengths = np.array([len(h) for _, h in self.items], np.int64)
+        # Half the edits allowed: no region then holds two matches side by side.
+        self.steps = np.where(lengths > LONG_SEARCH, (MAX_EDIT_SHARE * lengths // 2).astype(
+            np.int64), 1)
         self.filter = None
 
     def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,10 +224,12 @@ def find(texts: list[str | None], index: ItemIndex, words: Words,
 
 def _candidates(anchor: np.ndarray, entry: np.ndarray, index, starts: np.ndarray) -> np.ndarray:
     """Rows of (item, estimated start, document). The document is that of the anchor;
-    the start may lie before it, where the text lacks words of the item, and is clipped."""
+    the start may lie before it, where the text lacks words of the item, and is clipped.
+    Starts of long items are rounded down to whole steps."""
     doc = np.searchsorted(starts, anchor, "right") - 1
-    place = np.maximum(anchor - index.offsets[entry], starts[doc])
-    return np.stack([index.owners[entry], place, doc])
+    owner = index.owners[entry]
+    place = np.maximum(anchor - index.offsets[entry] - starts[doc], 0)
+    return np.stack([owner, starts[doc] + place - place % index.steps[owner], doc])
 
 
 def _search(texts, first, joined, starts, lengths, index, max_edit_share, found) -> None:
@@ -247,7 +253,8 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
         item_id, item = index.items[owner]
         allowed = int(max_edit_share * len(item))
         low = max(starts[doc], place - allowed)
-        high = min(starts[doc] + lengths[doc], place + len(item) + allowed)
+        high = min(starts[doc] + lengths[doc], place + len(item) + allowed
+                   + int(index.steps[owner]) - 1)
         # Every word of the item that the region lacks is an edit.
         if np.isin(item, joined[low:high]).sum() < len(item) - allowed:
             continue

@@ -34,3 +34,23 @@ def test_items_cut_at_either_end_of_a_document(n):
             for r in rows:
                 assert r["distance"] <= lost and r["end"] <= len(text)
     assert missed <= 4
+
+
+@pytest.mark.parametrize("n", [511, 513, 516, 1024, 1300])
+def test_long_items_are_compared_whole(n):
+    rng = random.Random(n)
+    item = made(rng, n)
+    index, words = decontam.ItemIndex([(7, " ".join(item))]), decontam.Words()
+    clean = [" ".join(made(rng, 90) + item[-k:] + made(rng, 90)) for k in (1, 2, 3, 4, 5, 300)]
+    assert ids(decontam.find(clean, index, words)) == [set()] * 6
+    edited = list(item)
+    for at in rng.sample(range(n), int(0.15 * n)):
+        edited[at] = f"zz{at}"
+    del edited[10:20]
+    around = made(rng, 90)
+    ((row,),) = decontam.find([" ".join(around + edited + around)], index, words)
+    assert row["item_words"] == n and int(0.15 * n) <= row["distance"] <= int(0.2 * n)
+    far = list(item)
+    for at in rng.sample(range(n), int(0.25 * n)):
+        far[at] = f"zz{at}"
+    assert decontam.find([" ".join(around + far + around)], index, words) == [[]]
