@@ -9,7 +9,12 @@ candidates are verified by the exact edit distance of the whole item.
 Windows start at anchors, words whose hash is least among their neighbours, which
 a document and an item choose alike. The window at an item's anchor is the longest
 of a few sizes that fits into the item; a document is embedded at all sizes from
-every one of its anchors, so no part of a text is left out.
+every one of its anchors.
+
+Walks from anchors miss some pairs, those of short items above all. Pieces of words
+find them: an item within e edits, cut into e + 1 pieces, has a piece that no edit
+touches. Every piece is looked for at every word of a document, so no pair within
+the distance is lost.
 """
 
 from __future__ import annotations
@@ -121,8 +126,20 @@ def _pad() -> np.ndarray:
     return np.zeros(int(max(SIZES) * STEPS_PER_WORD) + RADIUS + 1, np.uint64)
 
 
+def piece_keys(hashes: np.ndarray, sizes) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, keys) of as many words from every start on; the last starts, which
+    have no word of ``max(sizes)`` after them, are left out."""
+    count = max(0, len(hashes) - max(sizes, default=1) + 1)
+    key = np.zeros(count, np.uint64)
+    for size in range(1, max(sizes, default=0) + 1):
+        key = (key + hashes[size - 1:size - 1 + count]) * np.uint64(_MIX)
+        key ^= key >> np.uint64(29)
+        if size in sizes:
+            yield size, key + np.uint64(size)
+
+
 class ItemIndex:
-    """LSH tables over the windows of benchmark items."""
+    """LSH tables over the windows of benchmark items, and their pieces."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
         words = Words()
@@ -131,7 +148,7 @@ class ItemIndex:
             hashes = words((text or "").split())
             if len(hashes):
                 self.items.append((item_id, hashes))
-        keys, owners, offsets, seeds, used = [], [], [], set(), set()
+        keys, owners, offsets, seeds, used, pieces = [], [], [], set(), set(), set()
         for number, (_, hashes) in enumerate(self.items):
             n = len(hashes)
             inner = anchors(hashes)
@@ -152,6 +169,14 @@ class ItemIndex:
                     keys.append(found.ravel())
                     owners.append(np.full(found.size, number))
                     offsets.append(np.tile(at, TABLES))
+            cuts = np.arange(int(MAX_EDIT_SHARE * n) + 2) * n // (int(MAX_EDIT_SHARE * n) + 1)
+            lengths = np.diff(cuts)
+            for size, found in piece_keys(padded, np.unique(lengths).tolist()):
+                pieces.add(size)
+                at = cuts[:-1][lengths == size]
+                keys.append(found[at])
+                owners.append(np.full(len(at), number))
+                offsets.append(at)
         none = np.zeros(0, np.int64)
         keys = np.concatenate(keys) if keys else none.astype(np.uint64)
         order = np.argsort(keys, kind="stable")
@@ -160,6 +185,7 @@ class ItemIndex:
         self.offsets = (np.concatenate(offsets) if offsets else none)[order]
         self.seeds = np.array(sorted(seeds), np.uint64)
         self.sizes = tuple(sorted(used)) or SIZES[:1]
+        self.pieces = tuple(sorted(pieces))
         lengths = np.array([len(h) for _, h in self.items], np.int64)
         # Half the edits allowed: no region then holds two matches side by side.
         self.steps = np.where(lengths > LONG_SEARCH, (MAX_EDIT_SHARE * lengths // 2).astype(
@@ -244,6 +270,12 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
             column, entry = index.lookup(keys)
             if len(column):
                 candidates.append(_candidates(part[column], entry, index, starts))
+    for at in range(0, len(joined), WORDS_AT_ONCE):
+        part = joined[at:at + WORDS_AT_ONCE + max(index.pieces, default=1) - 1]
+        for _, keys in piece_keys(part, index.pieces):
+            column, entry = index.lookup(keys[None, :])
+            if len(column):
+                candidates.append(_candidates(at + column, entry, index, starts))
     if not candidates:
         return
     seen: set[tuple[int, int, int]] = set()
@@ -256,7 +288,8 @@ def _search(texts, first, joined, starts, lengths, index, max_edit_share, found)
         high = min(starts[doc] + lengths[doc], place + len(item) + allowed
                    + int(index.steps[owner]) - 1)
         # Every word of the item that the region lacks is an edit.
-        if np.isin(item, joined[low:high]).sum() < len(item) - allowed:
+        present = set(joined[low:high].tolist())
+        if sum(w in present for w in item.tolist()) < len(item) - allowed:
             continue
         distance, end = best_match(item, joined[low:high])
         if distance > allowed:
