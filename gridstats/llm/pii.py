@@ -8,8 +8,9 @@ which it lies most centrally, and spans are read from the one resulting sequence
 A tagged span is reported if, undone of its spelling, it is valid for its kind and
 touches no base span.
 
-A valid span holds a digit or an at sign, so only windows that hold one of them
-are decoded: the others cannot change the result.
+A valid span holds a digit, an at sign or a bracketed "at". Only the windows that
+decide the tags of such characters are decoded, and, as long as a span reaches the
+edge of what is decided, the windows beside it: the others cannot change the result.
 """
 
 from __future__ import annotations
@@ -400,35 +401,60 @@ def train(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
 
 # --- whole texts ------------------------------------------------------------------------
 
-def _starts(text: str) -> list[int]:
-    """Windows that hold a digit or an at sign, of those that cover the text."""
+# What a valid span holds: digits, or what ``_AT`` takes for an at sign.
+_NEEDED = re.compile(r"[0-9@]+|[(\[{]\s*at\s*[)\]}]", re.I)
+MARGIN = (WINDOW - STRIDE) // 2
+
+
+def _last(text: str) -> int:
+    """Number of the last of the windows that cover the text."""
+    return max(0, -(-(len(text) - WINDOW) // STRIDE))
+
+
+def _decided(n: int, last: int) -> tuple[int, int]:
+    """First and last place in window ``n`` of the characters nearest to its middle,
+    by which every character of a text belongs to one window."""
+    return 0 if n == 0 else MARGIN, WINDOW if n == last else MARGIN + STRIDE
+
+
+def _triggered(text: str) -> set[int]:
+    """Windows that decide characters of which a valid span holds some."""
+    wanted: set[int] = set()
+    last = _last(text)
+    for m in _NEEDED.finditer(text):
+        low, high = (max(0, min(last, (at - MARGIN) // STRIDE)) for at in (m.start(), m.end() - 1))
+        wanted.update(range(low, high + 1))
+    return wanted
+
+
+def _beside(rows: dict[int, np.ndarray], text: str) -> set[int]:
+    """Windows not decoded yet into which a span may reach."""
     wanted: set[int] = set()
-    last = max(0, -(-(len(text) - WINDOW) // STRIDE))
-    for m in re.finditer(r"[0-9@]+|[(\[{]\s?at\s?[)\]}]", text):
-        low = max(0, (m.start() - WINDOW) // STRIDE + 1)
-        wanted.update(range(low, min(last, (m.end() - 1) // STRIDE) + 1))
-    return [n * STRIDE for n in sorted(wanted)]
-
-
-def _spans(starts: list[int], tags: np.ndarray, text: str) -> list[tuple[str, int, int]]:
-    """Spans of one text from its decoded windows, reconciled."""
-    best: dict[int, tuple[int, int]] = {}
-    for start, row in zip(starts, tags):
-        for at in np.flatnonzero(row).tolist() if not row.any() else range(WINDOW):
-            edge = min(at, WINDOW - 1 - at)
-            place = start + at
-            if place < len(text) and (place not in best or edge > best[place][0]):
-                best[place] = (edge, int(row[at]))
-    found, open_ = [], None
-    for place in sorted(best):
-        tag = best[place][1]
-        kind = TAGS[tag][2:]
-        if open_ and tag and kind == open_[0] and TAGS[tag][0] == "I" and place == open_[2]:
-            open_[2] = place + 1
-            continue
-        if open_:
-            found.append(tuple(open_))
-        open_ = [kind, place, place + 1] if tag else None
+    last = _last(text)
+    for n, row in rows.items():
+        low, high = _decided(n, last)
+        if n > 0 and n - 1 not in rows and TAGS[row[low]][0] == "I":
+            wanted.add(n - 1)
+        if n < last and n + 1 not in rows and row[high - 1]:
+            wanted.add(n + 1)
+    return wanted
+
+
+def _spans(rows: dict[int, np.ndarray], text: str) -> list[tuple[str, int, int]]:
+    """Spans of one text from its decoded windows, by number."""
+    found, open_, last = [], None, _last(text)
+    for n in sorted(rows):
+        low, high = _decided(n, last)
+        for at in (np.flatnonzero(rows[n][low:high]) + low).tolist():
+            place, tag = n * STRIDE + at, TAGS[rows[n][at]]
+            if place >= len(text):
+                break
+            if open_ and tag == f"I-{open_[0]}" and place == open_[2]:
+                open_[2] = place + 1
+                continue
+            if open_:
+                found.append(tuple(open_))
+            open_ = [tag[2:], place, place + 1]
     if open_:
         found.append(tuple(open_))
     return found
@@ -452,35 +478,34 @@ def find(texts: list[str | None], tagger: Tagger) -> list[tuple[list, list]]:
     """(base spans, added spans) of every text, whole."""
     base = [base_spans(t) for t in texts]
     added: list[list] = [[] for _ in texts]
-    waiting: list[tuple[int, list[int]]] = []
+    waiting: dict[int, set[int]] = {}
     held = 0
 
     def flush() -> None:
-        if not waiting:
-            return
-        codes = np.full((held, WINDOW), PAD)
-        row = 0
-        for n, starts in waiting:
-            for s in starts:
-                piece = codes_of(texts[n][s:s + WINDOW])
-                codes[row, :len(piece)] = piece
-                row += 1
-        tags = np.concatenate([tagger.decode(codes[i:i + WINDOWS_AT_ONCE])
-                               for i in range(0, held, WINDOWS_AT_ONCE)])
-        row = 0
-        for n, starts in waiting:
-            spans = _spans(starts, tags[row:row + len(starts)], texts[n])
-            added[n] = _added(texts[n], base[n], spans)
-            row += len(starts)
+        rows: dict[int, dict[int, np.ndarray]] = {n: {} for n in waiting}
+        wanted = waiting
+        while wanted:
+            places = [(n, w) for n, windows in wanted.items() for w in sorted(windows)]
+            for i in range(0, len(places), WINDOWS_AT_ONCE):
+                part = places[i:i + WINDOWS_AT_ONCE]
+                codes = np.full((len(part), WINDOW), PAD)
+                for row, (n, w) in zip(codes, part):
+                    piece = codes_of(texts[n][w * STRIDE:w * STRIDE + WINDOW])
+                    row[:len(piece)] = piece
+                for (n, w), tags in zip(part, tagger.decode(codes)):
+                    rows[n][w] = tags
+            wanted = {n: more for n in wanted if (more := _beside(rows[n], texts[n]))}
+        for n in waiting:
+            added[n] = _added(texts[n], base[n], _spans(rows[n], texts[n]))
 
     for n, text in enumerate(texts):
-        starts = _starts(text) if text else []
-        if starts:
-            waiting.append((n, starts))
-            held += len(starts)
+        windows = _triggered(text) if text else set()
+        if windows:
+            waiting[n] = windows
+            held += len(windows)
             if held >= WINDOWS_AT_ONCE:
                 flush()
-                waiting, held = [], 0
+                waiting, held = {}, 0
     flush()
     return list(zip(base, added))
 
