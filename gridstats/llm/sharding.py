@@ -4,7 +4,9 @@ Records are ordered by (text hash, key hash), so that equal texts lie together.
 Keys are sampled with a chance in proportion to their size; quantiles of the
 sample bound fine ranges of the order. The exact size of every range is then
 summed, ranges holding more than their share (a group of copies, above all) are
-subdivided by the key hash, and neighbouring ranges fill the shards.
+subdivided by the key hash, and neighbouring ranges fill the shards. Rows that repeat
+a text and a key so often that they overfill a range are numbered, and their number
+takes the place of the key hash.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ SHARDS = 16
 RANGES = 1024              # fine ranges that the splitters bound
 SAMPLES_PER_RANGE = 16     # expected sampled keys per range
 OVERFULL = 1.5             # times the mean range size from which a range is subdivided
+SALTS = 256                # groups in which the rows of a repeated key are numbered
 HASH_DIGITS = 13           # of an MD5, as a number that a double holds exactly
 
 
@@ -55,6 +58,40 @@ def _rank_in(sorted_values: Column, value: Column) -> Column:
     return F.size(F.filter(sorted_values, lambda x: x <= value))
 
 
+def _numbered(keyed: DataFrame, total: int, rows: int, ranges: int) -> DataFrame:
+    """The same rows; where those of one text and key hold more bytes or rows than a
+    range should, their ``within`` is spread evenly by a number from 0 to n - 1.
+
+    Such rows are written with an arbitrary id, so that a task that is run again
+    sees the same one, and numbered in salted groups.
+    """
+    s, pair = F.col("_shard"), ["_group", "_within"]
+    marked = keyed.withColumns({"_group": s["group"], "_within": s["within"]})
+    repeated = stored(marked.groupBy(*pair).agg(
+        F.sum(s["size"]).alias("bytes"), F.count("*").alias("n")).where(
+        (F.col("n") > 1) & ((F.col("bytes") > total / ranges) | (F.col("n") > rows / ranges)))
+        .select(*pair), "repeated")
+    if repeated.isEmpty():
+        return keyed
+    rest = marked.join(broadcast_if_small(repeated), pair, "left_anti")
+    mine = stored(marked.join(broadcast_if_small(repeated), pair, "left_semi").withColumn(
+        "_copy", F.monotonically_increasing_id()), "repeated-rows")
+    mine = mine.withColumn("_salt", F.pmod(F.xxhash64("_copy"), F.lit(SALTS)))
+    same = Window.partitionBy(*pair)
+    counts = mine.groupBy(*pair, "_salt").agg(F.count("*").alias("_n"))
+    counts = stored(counts.select(*pair, "_salt", F.sum("_n").over(same).alias("_all"), (
+        F.sum("_n").over(same.orderBy("_salt").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_before")),
+        "repeated-counts")
+    place = F.row_number().over(Window.partitionBy(*pair, "_salt").orderBy("_copy"))
+    mine = mine.withColumn("_place", place).join(
+        broadcast_if_small(counts), [*pair, "_salt"])
+    number = (F.col("_before") + F.col("_place") - 1) / F.col("_all")
+    mine = mine.withColumn("_shard", s.withField("within", F.floor(
+        number * F.lit(float(16 ** HASH_DIGITS))).cast("long")))
+    return rest.select(*keyed.columns).unionByName(mine.select(*keyed.columns))
+
+
 def with_shards(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
                 shards: int = SHARDS, ranges: int = RANGES, keyed: DataFrame | None = None,
                 into: str = "shard") -> DataFrame:
@@ -71,7 +108,8 @@ def with_shards(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     if keyed is None:
         keyed = sized_keys(docs.drop(into), text=text, key=key)
     s = F.col("_shard")
-    total = keyed.agg(F.coalesce(F.sum(s["size"]), F.lit(0))).first()[0]
+    total, rows = keyed.agg(F.coalesce(F.sum(s["size"]), F.lit(0)), F.count("*")).first()
+    keyed = _numbered(keyed, total, rows, ranges)
     coarse = int(ranges ** 0.5)
     bounds = _splitters(keyed, max(total, 1), ranges).select(F.struct(
         F.transform(F.sequence(F.lit(coarse), F.lit(ranges - 1), F.lit(coarse)),
@@ -84,10 +122,15 @@ def with_shards(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     ranged = ranged.withColumn("_range", F.col("_coarse") * coarse + _rank_in(
         F.get("_bounds.fine", F.col("_coarse")), s["group"])).drop("_bounds", "_coarse")
 
-    sizes = ranged.groupBy("_range").agg(F.sum(s["size"]).alias("_bytes"))
-    limit = max(1.0, OVERFULL * total / ranges)
-    pieces = F.when(F.col("_bytes") > limit, F.ceil(F.col("_bytes") / F.lit(limit / OVERFULL))) \
-        .otherwise(F.lit(1)).cast("long")
+    sizes = ranged.groupBy("_range").agg(
+        F.sum(s["size"]).alias("_bytes"), F.count("*").alias("_rows"))
+
+    def pieces_of(held: Column, whole: int) -> Column:
+        limit = max(1.0, OVERFULL * whole / ranges)
+        return F.when(held > limit, F.ceil(held / F.lit(limit / OVERFULL))).otherwise(F.lit(1))
+
+    pieces = F.greatest(pieces_of(F.col("_bytes"), total),
+                        pieces_of(F.col("_rows"), rows)).cast("long")
     split = stored(sizes.select("_range", pieces.alias("_pieces")), "range-pieces")
     ranged = ranged.join(broadcast_if_small(split), "_range").withColumn("_piece", F.floor(
         s["within"] / F.lit(float(16 ** HASH_DIGITS)) * F.col("_pieces")).cast("long")) \
