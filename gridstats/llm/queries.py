@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm.decontam import benchmark_table, with_leaks
+from gridstats.llm.divergence import source_divergence
+from gridstats.llm.linededup import without_shared_lines
 from gridstats.llm.mixing import with_mix, word_count
+from gridstats.llm.oracle import ORACLE
 from gridstats.llm.pii import with_personal_data
 from gridstats.llm.quality import with_quality
 from gridstats.llm.sharding import sized_keys, with_shards
@@ -15,6 +18,7 @@ from gridstats.llm.simhash import fingerprints, near_duplicates
 from gridstats.llm.tokencount import token_counts
 from gridstats.llm.tokenfile import read_token_files, token_folder, write_token_files
 from gridstats.llm.toxicity import train, with_toxicity
+from gridstats.llm.vectorcodes import with_codes
 from gridstats.llm.warc import archive_folder, read_archives, write_archives
 
 LONG_TEXT_TOKENS = 4096
@@ -102,6 +106,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, files)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_codes(_table(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_shared_lines(docs).select(
+        "doc_id", "lines.n_lines", "lines.n_dropped",
+        F.sha2(F.col("lines.text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_personal_data": op2_personal_data,
@@ -113,6 +133,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_token_files": op10_token_files,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_shared_lines": op12_shared_lines,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
