@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from gridstats.functions.football import OFFICIAL_PASS
 from gridstats.functions.numeric import round_half_even
+from gridstats.operators import exact
+from gridstats.schema import CAST_TYPES
 
 MEAN_PLACES = 2
 
+# Columns of fractions, whose sums would depend on the order of the plays.
+REAL = frozenset(c for c, t in CAST_TYPES.items() if t == "double")
+
 
 def total(column: str, alias: str | None = None) -> Column:
-    return F.expr(f"coalesce(sum({column}), 0) AS {alias or column}")
+    value = exact.value(exact.partial(column)) if column in REAL else f"sum({column})"
+    return F.expr(f"coalesce({value}, 0) AS {alias or column}")
 
 
 def official(column: str, alias: str | None = None) -> Column:
@@ -23,8 +29,13 @@ def official(column: str, alias: str | None = None) -> Column:
                   f" AS {alias or column}")
 
 
+def _rounded_mean(value: str, count: str, alias: str) -> Column:
+    return round_half_even(F.expr(f"try_divide({value}, {count})"), MEAN_PLACES).alias(alias)
+
+
 def mean(column: str, alias: str | None = None) -> Column:
-    return round_half_even(F.avg(column), MEAN_PLACES).alias(alias or column)
+    value = exact.value(exact.partial(column)) if column in REAL else f"sum({column})"
+    return _rounded_mean(value, f"count({column})", alias or column)
 
 
 def dependent(column: str) -> Column:
@@ -36,10 +47,15 @@ def n_rows(alias: str) -> Column:
     return F.expr(f"count(*) AS {alias}")
 
 
+def _partial(column: str) -> dict[str, str]:
+    return exact.partial(column) if column in REAL else {f"{column}_sum": f"sum({column})"}
+
+
 def parts(*, sums: Iterable[str], means: Iterable[str], officials: Iterable[str]) -> list[Column]:
     """Partial sums and counts that ``Folded`` turns into the measures above."""
+    held = [partial for c in (*sums, *means) for partial in _partial(c).items()]
     return [
-        *[F.expr(f"sum({c}) AS {c}_sum") for c in (*sums, *means)],
+        *[F.expr(f"{sql} AS {name}") for name, sql in held],
         *[F.expr(f"count({c}) AS {c}_n") for c in means],
         *[official(c, f"{c}_official") for c in officials],
         n_rows("rows_n"),
@@ -49,9 +65,13 @@ def parts(*, sums: Iterable[str], means: Iterable[str], officials: Iterable[str]
 class Folded:
     """The measures over partial sums in place of plays."""
 
+    @staticmethod
+    def _sum(column: str) -> str:
+        return exact.value(exact.merged(column)) if column in REAL else f"sum({column}_sum)"
+
     @staticmethod
     def total(column: str, alias: str | None = None) -> Column:
-        return total(f"{column}_sum", alias or column)
+        return F.expr(f"coalesce({Folded._sum(column)}, 0) AS {alias or column}")
 
     @staticmethod
     def official(column: str, alias: str | None = None) -> Column:
@@ -59,8 +79,11 @@ class Folded:
 
     @staticmethod
     def mean(column: str, alias: str | None = None) -> Column:
-        return round_half_even(F.expr(f"try_divide(sum({column}_sum), sum({column}_n))"),
-                               MEAN_PLACES).alias(alias or column)
+        return _rounded_mean(Folded._sum(column), f"sum({column}_n)", alias or column)
+
+    @staticmethod
+    def dependent(column: str) -> Column:
+        return dependent(column)
 
     @staticmethod
     def n_rows(alias: str) -> Column:

@@ -44,17 +44,17 @@ def bronze_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
 
 
 def silver_plays(bronze: DataFrame, loaded_at: datetime | None = None, *,
-                 unique_arrival: bool = False) -> DataFrame:
+                 season_in_key: bool = False, unique_arrival: bool = False) -> DataFrame:
     """The silver table for a bronze table.
 
     Deduplication follows the cast, so keys that do not fit their type collapse
-    into one NULL key.
+    into one NULL key, or one for each season with ``season_in_key``.
     """
     require_columns(bronze, S.PLAY_COLUMNS)
     lineage = [c for c in (S.PLAYER, S.BRONZE_LOADED_AT, S.INGEST_SEQ)
                if c in bronze.columns]
     typed = V.enforce_schema(bronze.select(*lineage, *S.PLAY_COLUMNS), S.CAST_TYPES)
     renamed = V.rename_columns(typed)
-    latest = keep_last(renamed, S.player_key(renamed.columns),
-                       unique_arrival=unique_arrival)
+    keys = S.player_key(renamed.columns) + (["season"] if season_in_key else [])
+    latest = keep_last(renamed, keys, unique_arrival=unique_arrival)
     return V.add_features(latest.drop(S.BRONZE_LOADED_AT, S.INGEST_SEQ), loaded_at)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridstats.functions.football import home_or_away, passer_rating
 from gridstats.functions.numeric import ratio, round_half_even
 from gridstats.operators.bronze import timestamp_column
-from gridstats.operators.measures import MEAN_PLACES, dependent, official, total
+from gridstats.operators.measures import Folded, dependent, official, parts, total
 from gridstats.schema import PLAYER
 
 # ---------------------------------------------------------------------------
@@ -48,14 +48,12 @@ def _game_totals(plays: DataFrame, keys: list[str]) -> DataFrame:
     per_context = plays.groupBy(*keys, *CONTEXT).agg(
         *[official(c) for c in OFFICIAL_SUMS],
         *[total(c) for c in SUMS],
-        *[F.expr(f"sum({c}) AS {c}_sum") for c in MEANS],
-        *[F.expr(f"count({c}) AS {c}_n") for c in MEANS],
+        *parts(sums=(), means=MEANS, officials=()),
     )
     return per_context.groupBy(*keys).agg(
         *[dependent(c) for c in CONTEXT],
         *[total(c) for c in OFFICIAL_SUMS + SUMS],
-        *[round_half_even(F.expr(f"try_divide(sum({c}_sum), sum({c}_n))"),
-                          MEAN_PLACES).alias(c) for c in MEANS],
+        *[Folded.mean(c) for c in MEANS],
     )
 
 

@@ -7,9 +7,10 @@ is repeated, or restarted after a failure, appends only what is still missing.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,18 @@ from gridstats.operators.quality import CRITICAL_COLUMNS, null_counts
 from gridstats.plans.form import game_momentum, season_progression
 from gridstats.plans.layers import new_plays, silver_plays
 from gridstats.plans.performance import qb_performance
-from gridstats.plans.splits import SPLIT_TABLES, build, family_of, partial_sums
+from gridstats.plans.splits import (
+    GAME_TABLES, SPLIT_TABLES, build, family_of, partial_sums)
+from gridstats.sources import versions
 from gridstats.sources.tables import (
-    append_table, read_table, read_table_if_any, rebalanced, replace_table)
+    append_once, read_table, read_table_if_any, rebalanced, replace_table)
+from gridstats.sources.versions import Conflict, Version
 
 log = logging.getLogger(__name__)
+T = TypeVar("T")
+
+# How often a run that others keep overtaking starts again before it gives up.
+ATTEMPTS = 10
 
 PERFORMANCE = "qb_performance"
 FORM_TABLES = {"game_momentum": game_momentum, "season_progression": season_progression}
@@ -52,7 +60,11 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
 
     One job reads, deduplicates, anti-joins and writes; the row and null counts
     are observed on the way, before nulls are filled, instead of by further
-    passes. Nothing new means that no file is written.
+    passes. Nothing new means that no version is added.
+
+    The plays are chosen against one version of bronze and committed only as the
+    next one. If another run was faster, what this run wrote is discarded and chosen
+    anew, so two runs at once never append the same play.
 
     ``recorded_seasons`` limits the recorded keys to those seasons' directories.
     Use it where a game id never occurs in two seasons; by default all recorded
@@ -64,22 +76,28 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
     delivery of another kind of type is refused before anything is written.
     """
     B.require_kinds(raw)
+    spark = raw.sparkSession
     if season_in_key and recorded_seasons is None:
         recorded_seasons = [r["season"] for r in raw.select("season").distinct().collect()]
-    recorded = read_table_if_any(raw.sparkSession, bronze_path)
-    if recorded is not None and recorded_seasons is not None:
-        recorded = recorded.where(F.col("season").isin(list(recorded_seasons)))
-    fresh = new_plays(raw, recorded, player=player, players=players, passer=passer,
-                      rusher=rusher, season_in_key=season_in_key)
-    seen = Observation("new_plays")
-    watched = rebalanced(fresh, "season").observe(
-        seen, F.count(F.lit(1)).alias("n_plays"), *null_counts())
-    append_table(B.as_declared(B.clean(watched, loaded_at)), bronze_path,
-                 partition_by=["season"])
-
-    counts = seen.get
-    report = BronzeReport(counts["n_plays"],
-                          {c: counts[f"{c}_nulls"] for c in CRITICAL_COLUMNS})
+
+    def append() -> BronzeReport:
+        base = versions.current(spark, bronze_path)
+        recorded = (read_table_if_any(spark, bronze_path) if base is None
+                    else versions.read(spark, bronze_path, base))
+        if recorded is not None and recorded_seasons is not None:
+            recorded = recorded.where(F.col("season").isin(list(recorded_seasons)))
+        fresh = new_plays(raw, recorded, player=player, players=players, passer=passer,
+                          rusher=rusher, season_in_key=season_in_key)
+        seen = Observation("new_plays")
+        watched = rebalanced(fresh, "season").observe(
+            seen, F.count(F.lit(1)).alias("n_plays"), *null_counts())
+        append_once(B.as_declared(B.clean(watched, loaded_at)), bronze_path, base,
+                    partition_by=["season"])
+        counts = seen.get
+        return BronzeReport(counts["n_plays"],
+                            {c: counts[f"{c}_nulls"] for c in CRITICAL_COLUMNS})
+
+    report = _until_committed(append)
     if report.n_plays == 0:
         log.warning("no new plays")
     elif any(report.nulls.values()):
@@ -87,6 +105,16 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
     return report
 
 
+def _until_committed(step: Callable[[], T]) -> T:
+    """Repeat a step that another writer has overtaken."""
+    for _ in range(ATTEMPTS):
+        try:
+            return step()
+        except Conflict as overtaken:
+            log.warning("overtaken by another run: %s", overtaken)
+    return step()
+
+
 def _read_filled(spark: SparkSession, path: str) -> DataFrame | None:
     """The table unless it is missing or empty; looks at one row only."""
     table = read_table_if_any(spark, path)
@@ -96,26 +124,81 @@ def _read_filled(spark: SparkSession, path: str) -> DataFrame | None:
     return table
 
 
+# What a season-wise table notes of itself: the directories it was built from, the
+# settings that went into it, and columns it has for its own use only.
+BUILT_FROM, SETTINGS, HIDDEN = "built_from", "settings", "hidden"
+
+
+def changed_partitions(source: Version, derived: Version | None,
+                       settings: Sequence[str] = ()) -> set[str] | None:
+    """Partitions of ``source`` with other directories than ``derived`` was built
+    from; None if it was not built partition by partition with these settings, so
+    that all have changed."""
+    if derived is None or BUILT_FROM not in derived.notes \
+            or derived.notes.get(SETTINGS) != list(settings):
+        return None
+    changed = set(derived.notes[BUILT_FROM]) ^ set(source.directories)
+    return {versions.partition_of(d) for d in changed}
+
+
+def _season_wise(spark: SparkSession, source_path: str, path: str,
+                 plan: Callable[[DataFrame], DataFrame], *, settings: Sequence[str] = (),
+                 cluster_by: Sequence[str] = (), hidden: Sequence[str] = ()) -> bool:
+    """Bring a table up to date that has every season of its source by itself; False
+    if no season has changed. Only changed seasons are read and written."""
+    def step() -> bool:
+        source, base = versions.current(spark, source_path), versions.current(spark, path)
+        if source is None:
+            raise ValueError(f"{source_path} has no versions to tell what has changed")
+        changed = changed_partitions(source, base, settings)
+        if changed is not None and not changed:
+            log.warning("nothing new for %s", path)
+            return False
+        rows = plan(versions.read(spark, source_path, source, changed))
+        replace_table(rows, path, partition_by=["season"], partitions=changed, base=base,
+                      cluster_by=[c for c in cluster_by if c in rows.columns],
+                      notes={BUILT_FROM: source.directories, SETTINGS: list(settings),
+                             HIDDEN: list(hidden)})
+        return True
+
+    return _until_committed(step)
+
+
+SILVER_CLUSTER = (S.PLAYER, "game_id", "play_id")
+
+
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, *,
-               loaded_at: datetime | None = None) -> bool:
+               season_in_key: bool = False, loaded_at: datetime | None = None) -> bool:
     """Replace silver; False, with nothing written, if bronze is empty.
 
     Silver is read by every gold table, so it is stored clustered by player and
     game: their group-bys then combine on the map side almost completely.
+
+    ``season_in_key`` declares, as for bronze, that plays of two seasons are never
+    the same. Then only seasons that got plays since the last such run are read and
+    written, one directory each, and the others are taken over with the load stamp
+    they have. The rows are those of a full run with ``season_in_key``.
     """
     bronze = _read_filled(spark, bronze_path)
     if bronze is None:
         return False
-    silver = silver_plays(bronze, loaded_at)
-    cluster = [c for c in (S.PLAYER, "game_id", "play_id") if c in silver.columns]
-    replace_table(silver, silver_path, partition_by=["season"], cluster_by=cluster)
+
+    def plan(plays: DataFrame) -> DataFrame:
+        return silver_plays(plays, loaded_at, season_in_key=season_in_key)
+
+    if season_in_key:
+        _season_wise(spark, bronze_path, silver_path, plan, cluster_by=SILVER_CLUSTER)
+    else:
+        silver = plan(bronze)
+        replace_table(silver, silver_path, partition_by=["season"],
+                      cluster_by=[c for c in SILVER_CLUSTER if c in silver.columns])
     return True
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
              team: str | Column, player: str | None = None,
              tables: Sequence[str] = GOLD_TABLES, extra_keys: Sequence[str] = (),
-             loaded_at: datetime | None = None) -> list[str]:
+             by_season: bool = False, loaded_at: datetime | None = None) -> list[str]:
     """Replace the gold tables asked for and return their names.
 
     Tables are directories ``gold_<name>`` under ``gold_path``. The form tables
@@ -125,6 +208,12 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
 
     Tables of a family are folded from its partial sums, stored beside them as
     ``partial_<family>``, so all fourteen tables read silver six times.
+
+    With ``by_season`` a run reads only seasons of silver that have changed since the
+    last such run with the same settings, and costs what they hold: tables with a row
+    per game keep every season in a directory of its own, the others are folded from
+    partial sums that do. It declares that no game spans two seasons, and needs
+    silver of all players. Rows of seasons that stay keep their load stamp.
     """
     unknown = sorted(set(tables) - set(GOLD_TABLES))
     if unknown:
@@ -133,10 +222,13 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
     if silver is None:
         return []
     by_player = S.PLAYER in silver.columns
-    if not by_player and player is None:
-        raise ValueError("silver has no player column: name the player")
+    if not by_player and (player is None or by_season):
+        raise ValueError("silver has no player column: name the player, and take all seasons")
+    asked = [t for t in GOLD_TABLES if t in tables]
+    if by_season:
+        return _gold_by_season(spark, silver_path, gold_path, asked, team, extra_keys, loaded_at)
     written, partials = [], {}
-    for name in (t for t in GOLD_TABLES if t in tables):
+    for name in asked:
         if name == PERFORMANCE:
             table = qb_performance(silver, team=team, player=player, loaded_at=loaded_at)
         elif name in FORM_TABLES:
@@ -146,7 +238,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
             table = FORM_TABLES[name](games, by_player=by_player)
         elif family := family_of(name):
             if family not in partials:
-                path = f"{gold_path.rstrip('/')}/partial_{family}"
+                path = partial_path(gold_path, family)
                 replace_table(partial_sums(family, silver, extra_keys=extra_keys), path)
                 partials[family] = read_table(spark, path)
             table = build(name, partials[family], player=player, extra_keys=extra_keys,
@@ -159,6 +251,46 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, *,
     return written
 
 
+def _gold_by_season(spark: SparkSession, silver_path: str, gold_path: str, names: Sequence[str],
+                    team: str | Column, extra_keys: Sequence[str],
+                    loaded_at: datetime | None) -> list[str]:
+    settings = [str(team), *extra_keys]
+    with_season = list(dict.fromkeys([*extra_keys, "season"]))
+    hidden = [c for c in with_season if c not in extra_keys]
+    performance = gold_table_path(gold_path, PERFORMANCE)
+    written, refreshed = [], set()
+    for name in names:
+        path = gold_table_path(gold_path, name)
+        if name == PERFORMANCE:
+            _season_wise(spark, silver_path, path, settings=settings, plan=lambda plays:
+                         qb_performance(plays, team=team, loaded_at=loaded_at))
+        elif name in FORM_TABLES:
+            if versions.current(spark, performance) is None:
+                log.warning("nothing to process in %s", performance)
+                continue
+            _season_wise(spark, performance, path, FORM_TABLES[name])
+        elif name in GAME_TABLES:
+            _season_wise(spark, silver_path, path, settings=settings, hidden=hidden,
+                         plan=lambda plays, name=name: build(
+                             name, plays, extra_keys=with_season, loaded_at=loaded_at))
+        else:
+            family = family_of(name, by_season=True)
+            partial = partial_path(gold_path, family)
+            if family not in refreshed:
+                _season_wise(spark, silver_path, partial, settings=settings,
+                             plan=lambda plays, family=family: partial_sums(
+                                 family, plays, team=team, extra_keys=with_season))
+                refreshed.add(family)
+            replace_table(build(name, read_table(spark, partial), extra_keys=extra_keys,
+                                loaded_at=loaded_at, folded=True), path)
+        written.append(name)
+    return written
+
+
+def partial_path(gold_path: str, family: str) -> str:
+    return f"{gold_path.rstrip('/')}/partial_{family}"
+
+
 def gold_table_path(gold_path: str, name: str) -> str:
     return f"{gold_path.rstrip('/')}/gold_{name}"
 
@@ -166,5 +298,8 @@ def gold_table_path(gold_path: str, name: str) -> str:
 def read_gold(spark: SparkSession, gold_path: str, name: str, *,
               ordered: bool = False) -> DataFrame:
     """A stored gold table, in its presentation order if asked for."""
-    table = read_table(spark, gold_table_path(gold_path, name))
+    path = gold_table_path(gold_path, name)
+    version = versions.current(spark, path)
+    hidden = version.notes.get(HIDDEN, ()) if version else ()
+    table = read_table(spark, path).drop(*hidden)
     return in_order(table, GOLD_ORDER[name]) if ordered else table

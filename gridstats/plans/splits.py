@@ -159,6 +159,8 @@ class Family:
     where: tuple[str, ...]
     sums: tuple[str, ...]
     means: tuple[str, ...]
+    officials: tuple[str, ...] = ("pass_attempt",)
+    by_season: bool = False       # worth storing only where seasons are kept apart
 
 
 # No key of a game is among them: partial sums by game are as many as the plays.
@@ -177,11 +179,20 @@ FAMILIES: Mapping[str, Family] = {
         keys=("receiver_player_name", "down", "score_bucket", "is_redzone"),
         where=(KNOWN_RECEIVER, KNOWN_DOWN),
         sums=CAUGHT, means=("epa", "cpoe", "air_yards", "yards_after_catch")),
+    "situations": Family(
+        tables=("situational_splits",),
+        keys=("down", "score_bucket", "quarter", "home_or_away"), where=(KNOWN_DOWN,),
+        sums=("complete_pass", "pass_touchdown", "interception", "sack", *RUSHING),
+        means=("epa",), officials=("pass_attempt", "passing_yards"), by_season=True),
 }
 
+# Keyed by game, so that every row belongs to one season.
+GAME_TABLES = tuple(name for name, t in SPLIT_TABLES.items() if "game_id" in t.keys)
 
-def family_of(name: str) -> str | None:
-    return next((f for f, family in FAMILIES.items() if name in family.tables), None)
+
+def family_of(name: str, *, by_season: bool = False) -> str | None:
+    return next((f for f, family in FAMILIES.items()
+                 if name in family.tables and by_season >= family.by_season), None)
 
 
 def _derived(plays: DataFrame, keys: Sequence[str], team: str | Column | None) -> DataFrame:
@@ -191,22 +202,22 @@ def _derived(plays: DataFrame, keys: Sequence[str], team: str | Column | None) -
     return plays.withColumns({key: derived[key]() for key in keys if key in derived})
 
 
-def partial_sums(family: str, plays: DataFrame, *,
+def partial_sums(family: str, plays: DataFrame, *, team: str | Column | None = None,
                  extra_keys: Sequence[str] = ()) -> DataFrame:
     """What all tables of the family can be folded from, see ``build``."""
     f = FAMILIES[family]
     for condition in f.where:
         plays = plays.where(condition)
     by_player = [PLAYER] if PLAYER in plays.columns else []
-    return _derived(plays, f.keys, None).groupBy(*by_player, *extra_keys, *f.keys).agg(
-        *parts(sums=f.sums, means=f.means, officials=("pass_attempt",)))
+    return _derived(plays, f.keys, team).groupBy(*by_player, *extra_keys, *f.keys).agg(
+        *parts(sums=f.sums, means=f.means, officials=f.officials))
 
 
 def build(name: str, plays: DataFrame, *, team: str | Column | None = None,
           player: str | None = None, extra_keys: Sequence[str] = (),
           loaded_at: datetime | None = None, folded: bool = False) -> DataFrame:
     """The split table ``name`` over silver plays, or, with ``folded``, over the
-    partial sums of its family with the same ``extra_keys``.
+    partial sums of its family with the same ``extra_keys`` or more.
 
     With a ``player_name`` column in ``plays`` the table is keyed by player
     first; without one, ``player`` is written to every row. ``extra_keys``
@@ -219,9 +230,9 @@ def build(name: str, plays: DataFrame, *, team: str | Column | None = None,
     for condition in table.where:
         chosen = chosen.where(condition)
 
-    if "home_or_away" in table.keys and team is None:
-        raise ValueError(f"{name} needs the team whose home games count as such")
     if not folded:
+        if "home_or_away" in table.keys and team is None:
+            raise ValueError(f"{name} needs the team whose home games count as such")
         chosen = _derived(chosen, table.keys, team)
 
     keys = [*([PLAYER] if by_player else []), *extra_keys, *table.keys]

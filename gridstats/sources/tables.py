@@ -1,23 +1,32 @@
-"""Layer tables as Parquet directories: read, append, replace."""
+"""Layer tables: read, append, replace. Written tables have versions; directories of
+Parquet files that something else wrote are read as they are."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from gridstats.sources import versions
+from gridstats.sources.versions import Conflict, Version
+
 # What Spark reports for a table nobody has written to yet: no such path, or a
 # directory without data files.
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    version = versions.current(spark, path)
+    return versions.read(spark, path, version) if version else spark.read.parquet(path)
 
 
 def read_table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None if it was never written; other errors propagate."""
+    """The table, or None if it was never written, or not to the end; other errors
+    propagate."""
+    if versions.uncommitted(spark, path):
+        return None
     try:
         return read_table(spark, path)
     except AnalysisException as error:
@@ -26,9 +35,40 @@ def read_table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def append_table(df: DataFrame, path: str, *,
-                 partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> Version:
+    """Add the rows to whatever the table holds when they are written."""
+    spark = df.sparkSession
+    versions.refuse_plain_files(spark, path)
+    new = versions.write(df, path, partition_by)
+    while True:
+        base = versions.current(spark, path)
+        try:
+            return versions.commit(spark, path, base, new, df.schema,
+                                   keep=base.directories if base else (),
+                                   notes=base.notes if base else None)
+        except Conflict:
+            continue
+
+
+def append_once(df: DataFrame, path: str, base: Version | None, *,
+                partition_by: Sequence[str] = ()) -> Version | None:
+    """Add the rows if the table still is at ``base``, on which they were chosen.
+
+    Otherwise they are discarded and ``Conflict`` is raised. Without rows there is
+    no new version."""
+    spark = df.sparkSession
+    if base is None:
+        versions.refuse_plain_files(spark, path)
+    new = versions.write(df, path, partition_by)
+    if not new:
+        return base
+    try:
+        return versions.commit(spark, path, base, new, df.schema,
+                               keep=base.directories if base else (),
+                               notes=base.notes if base else None)
+    except Conflict:
+        versions.discard(spark, path, new)
+        raise
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -41,17 +81,50 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def clustered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one key in the same file, in order.
+
+    Later group-bys on the columns combine nearly everything on the map side, and
+    filters on them skip row groups. Adaptive execution splits oversized partitions,
+    so no key, however frequent, has to fit into one task, and nothing is sampled:
+    the plan below runs once.
+    """
+    return rebalanced(df, *columns).sortWithinPartitions(*columns)
+
+
 def replace_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
-                  cluster_by: Sequence[str] = ()) -> None:
-    """Overwrite the table, optionally clustered.
-
-    Clustering puts rows of one key into the same file, in order: later group-bys
-    on ``cluster_by`` combine nearly everything on the map side, and filters on it
-    skip row groups. Adaptive execution splits oversized partitions, so no key,
-    however frequent, has to fit into one task, and nothing is sampled: the plan
-    below runs once.
+                  cluster_by: Sequence[str] = (), partitions: Iterable[str] | None = None,
+                  base: Version | None = None,
+                  notes: Mapping[str, Any] | None = None) -> Version:
+    """Put the rows in place of the table, or of the ``partitions`` named of it.
+
+    The table is what it was until the rows are written; readers who have begun keep
+    the version before, older ones are deleted. Of two writers at once the later
+    commit holds. With ``partitions`` (``season=1996``, ...) all rows must belong to
+    those; directories of the others are taken over, unread, from the version
+    ``base``, and if that is no longer the newest, ``Conflict`` is raised.
     """
+    spark = df.sparkSession
     if cluster_by:
-        columns = [*partition_by, *cluster_by]
-        df = rebalanced(df, *columns).sortWithinPartitions(*columns)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df = clustered(df, *partition_by, *cluster_by)
+    new = versions.write(df, path, partition_by)
+    keep: list[str] = []
+    if partitions is not None:
+        gone = set(partitions)
+        if extra := {versions.partition_of(d) for d in new} - gone:
+            versions.discard(spark, path, new)
+            raise ValueError(f"rows of other partitions than those to replace: {sorted(extra)}")
+        keep = [d for d in base.directories if versions.partition_of(d) not in gone] \
+            if base else []
+    while True:
+        newest = versions.current(spark, path)
+        try:
+            version = versions.commit(spark, path, base if partitions is not None else newest,
+                                      new, df.schema, keep=keep, notes=notes)
+            break
+        except Conflict:
+            if partitions is not None:
+                versions.discard(spark, path, new)
+                raise
+    versions.expire(spark, path)
+    return version

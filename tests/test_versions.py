@@ -1,0 +1,308 @@
+"""Versions of tables: what readers see while and after runs write, die or collide."""
+
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from gridstats import schema as S
+from gridstats.plans import runs
+from gridstats.plans.layers import silver_plays
+from gridstats.plans.runs import run_bronze, run_silver
+from gridstats.sources import tables, versions
+from gridstats.sources.lineitem_plays import plays_from_lineitem
+from gridstats.sources.tables import append_table, read_table, replace_table
+from gridstats.sources.versions import Conflict
+
+STAMP = datetime(2026, 1, 1)
+
+
+def numbers(spark, low, high):
+    return spark.range(low, high).selectExpr("id", "cast(id % 3 as int) AS season")
+
+
+def ids(frame):
+    return sorted(r["id"] for r in frame.select("id").collect())
+
+
+def rows_of(frame):
+    return sorted(map(repr, frame.select(*sorted(frame.columns)).collect()))
+
+
+class Killed(RuntimeError):
+    pass
+
+
+def dies(*_, **__):
+    raise Killed
+
+
+# --- replacing a table ---------------------------------------------------------
+
+@pytest.mark.parametrize("partition_by", [(), ("season",)])
+def test_a_run_killed_before_the_switch_leaves_the_old_table(
+        spark, tmp_path, monkeypatch, partition_by):
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 0, 9), path, partition_by=partition_by)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", dies)
+        with pytest.raises(Killed):
+            replace_table(numbers(spark, 100, 109), path, partition_by=partition_by)
+    assert len(list(Path(path).glob("_write=*"))) == 2
+    assert ids(read_table(spark, path)) == list(range(9))
+    replace_table(numbers(spark, 100, 109), path, partition_by=partition_by)
+    assert ids(read_table(spark, path)) == list(range(100, 109))
+
+
+def test_a_run_killed_while_it_writes_the_version_leaves_the_old_one(
+        spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 0, 5), path)
+    with monkeypatch.context() as m:
+        m.setattr(versions.os, "link", dies)
+        with pytest.raises(Killed):
+            replace_table(numbers(spark, 50, 55), path)
+    assert ids(read_table(spark, path)) == list(range(5))
+    assert [p.name for p in Path(path, "_versions").iterdir()
+            if not p.name.startswith(".")] == ["000000000001.json"]
+
+
+def test_a_reader_who_has_begun_finishes_on_its_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 0, 5), path)
+    begun = read_table(spark, path)
+    replace_table(numbers(spark, 50, 55), path)
+    assert ids(begun) == list(range(5)) and ids(read_table(spark, path)) == list(range(50, 55))
+
+
+def test_old_versions_and_only_they_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    under_way = versions.write(numbers(spark, 0, 3), path)
+    for n in range(5):
+        replace_table(numbers(spark, n, n + 2), path)
+    assert len(list(Path(path).glob("_write=*"))) == versions.KEEP_VERSIONS + 1
+    assert Path(path, under_way[0]).is_dir() and ids(read_table(spark, path)) == [4, 5]
+    assert versions.current(spark, path).number == 5
+
+
+def test_partitions_are_replaced_and_others_taken_over_unread(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = replace_table(numbers(spark, 0, 30), path, partition_by=["season"])
+    second = replace_table(numbers(spark, 100, 130).where("season = 1"), path, base=first,
+                           partition_by=["season"], partitions=["season=1"])
+    kept = {versions.partition_of(d) for d in set(first.directories) & set(second.directories)}
+    assert kept == {"season=0", "season=2"}
+    table = read_table(spark, path)
+    assert ids(table.where("season <> 1")) == [i for i in range(30) if i % 3 != 1]
+    assert ids(table.where("season = 1")) == [i for i in range(100, 130) if i % 3 == 1]
+    with pytest.raises(ValueError, match="season=2"):
+        replace_table(numbers(spark, 0, 9), path, base=second, partition_by=["season"],
+                      partitions=["season=0", "season=1"])
+    with pytest.raises(Conflict):
+        replace_table(numbers(spark, 0, 9).where("season = 1"), path, base=first,
+                      partition_by=["season"], partitions=["season=1"])
+    assert rows_of(read_table(spark, path)) == rows_of(table)
+
+
+def test_tables_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 0, 9), path, partition_by=["season"])
+    replace_table(numbers(spark, 0, 0), path, partition_by=["season"])
+    empty = read_table(spark, path)
+    assert empty.collect() == [] and empty.columns == ["id", "season"]
+    append_table(numbers(spark, 3, 4), path, partition_by=["season"])
+    assert ids(read_table(spark, path)) == [3]
+
+
+def test_filters_reach_the_directories_of_a_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_table(numbers(spark, 0, 9), path, partition_by=["season"])
+    append_table(numbers(spark, 9, 18), path, partition_by=["season"])
+    some = read_table(spark, path).where("season = 2 and id > 4")
+    assert "PartitionFilters: [isnotnull(season" in plan_of(some)
+    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,4)]" in plan_of(some)
+    assert ids(some) == [5, 8, 11, 14, 17]
+
+
+def test_columns_may_be_added_but_not_change_their_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_table(numbers(spark, 0, 2), path)
+    append_table(numbers(spark, 2, 3).withColumn("note", F.lit("n")), path)
+    assert [tuple(r) for r in read_table(spark, path).orderBy("id").collect()] == [
+        (0, 0, None), (1, 1, None), (2, 2, "n")]
+    with pytest.raises(ValueError, match="id"):
+        append_table(numbers(spark, 0, 2).withColumn("id", F.lit("x")), path)
+
+
+def test_plain_files_are_read_and_not_added_to(spark, tmp_path):
+    path = str(tmp_path / "t")
+    numbers(spark, 0, 4).write.parquet(path)
+    assert ids(read_table(spark, path)) == [0, 1, 2, 3]
+    with pytest.raises(ValueError, match="without versions"):
+        append_table(numbers(spark, 4, 5), path)
+    replace_table(read_table(spark, path).where("id > 0"), path)
+    append_table(numbers(spark, 4, 5), path)
+    assert ids(read_table(spark, path)) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_one_of_two_writers_gets_the_number(spark, tmp_path, local):
+    path = str(tmp_path / "t")
+    if not local:
+        # A file system that is not called "file": versions are published by rename.
+        spark._jsc.hadoopConfiguration().set(
+            "fs.viewfs.mounttable.both.link./m", f"file://{tmp_path}")
+        path = "viewfs://both/m/t"
+    base = append_table(numbers(spark, 0, 2), path)
+    first = versions.write(numbers(spark, 2, 4), path)
+    second = versions.write(numbers(spark, 4, 6), path)
+    schema = numbers(spark, 0, 1).schema
+    versions.commit(spark, path, base, first, schema, keep=base.directories)
+    with pytest.raises(Conflict):
+        versions.commit(spark, path, base, second, schema, keep=base.directories)
+    assert ids(read_table(spark, path)) == [0, 1, 2, 3]
+
+
+# --- two bronze runs at once -----------------------------------------------------
+
+def _keys(frame):
+    return frame.select(*S.player_key(frame.columns))
+
+
+def test_interleaved_runs_hold_every_play_once(spark, sf_dir, tmp_path, monkeypatch):
+    path, alone = str(tmp_path / "bronze"), str(tmp_path / "alone")
+    early = plays_from_lineitem(spark, sf_dir, [1995, 1996])
+    late = plays_from_lineitem(spark, sf_dir, [1996, 1997])
+    commit, other = versions.commit, []
+
+    def overtaken(*args, **kwargs):
+        # Between this run's write and its commit, another run does all of its work.
+        monkeypatch.setattr(versions, "commit", commit)
+        other.append(run_bronze(late, path, loaded_at=STAMP))
+        return commit(*args, **kwargs)
+
+    monkeypatch.setattr(versions, "commit", overtaken)
+    mine = run_bronze(early, path, loaded_at=STAMP)
+    bronze = read_table(spark, path)
+    assert other[0].n_plays > 0 and mine.n_plays > 0
+    assert bronze.count() == mine.n_plays + other[0].n_plays
+    assert _keys(bronze).distinct().count() == bronze.count()
+    run_bronze(plays_from_lineitem(spark, sf_dir, range(1995, 1998)), alone, loaded_at=STAMP)
+    assert rows_of(_keys(bronze)) == rows_of(_keys(read_table(spark, alone)))
+    # What was written in vain is gone.
+    assert len(list(Path(path).glob("_write=*"))) == 2
+
+
+def test_a_run_killed_before_its_commit_is_repeated_whole(spark, sf_dir, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    raw = plays_from_lineitem(spark, sf_dir, [1996])
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", dies)
+        with pytest.raises(Killed):
+            run_bronze(raw, path)
+    assert len(list(Path(path).glob("_write=*"))) == 1
+    assert tables.read_table_if_any(spark, path) is None
+    assert run_bronze(raw, path).n_plays == read_table(spark, path).count() > 0
+    assert run_bronze(raw, path).n_plays == 0
+
+
+def test_a_run_that_is_always_overtaken_gives_up(spark, sf_dir, tmp_path, monkeypatch):
+    def taken(*_, **__):
+        raise Conflict("taken")
+
+    monkeypatch.setattr(runs, "ATTEMPTS", 1)
+    monkeypatch.setattr(versions, "commit", taken)
+    with pytest.raises(Conflict):
+        run_bronze(plays_from_lineitem(spark, sf_dir, [1996]), str(tmp_path / "bronze"))
+
+
+# --- silver by season --------------------------------------------------------------
+
+@pytest.fixture
+def two_seasons(spark, sf_dir, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    run_bronze(plays_from_lineitem(spark, sf_dir, [1995, 1996]), bronze,
+               season_in_key=True, loaded_at=STAMP)
+    run_silver(spark, bronze, silver, season_in_key=True, loaded_at=STAMP)
+    return bronze, silver
+
+
+def _dirs(spark, path):
+    return {versions.partition_of(d): d for d in versions.current(spark, path).directories}
+
+
+def test_a_delivery_of_one_season_rewrites_one_directory(spark, sf_dir, tmp_path, two_seasons):
+    bronze, silver = two_seasons
+    before = _dirs(spark, silver)
+    run_bronze(plays_from_lineitem(spark, sf_dir, [1997]), bronze, season_in_key=True,
+               loaded_at=STAMP)
+    assert run_silver(spark, bronze, silver, season_in_key=True, loaded_at=STAMP)
+    after = _dirs(spark, silver)
+    assert set(after) - set(before) == {"season=1997"}
+    assert all(after[s] == before[s] for s in before)
+    full = str(tmp_path / "full")
+    run_silver(spark, bronze, full, loaded_at=STAMP)
+    assert rows_of(read_table(spark, silver)) == rows_of(read_table(spark, full))
+
+
+def test_later_plays_of_a_known_season_rebuild_that_season(
+        spark, sf_dir, tmp_path, two_seasons):
+    bronze, silver = two_seasons
+    before = _dirs(spark, silver)
+    # A correction that reached bronze, and a play nobody had yet.
+    old = read_table(spark, bronze).where("season = 1996").limit(1)
+    again = old.withColumn("epa", F.lit(99.0)).withColumn(
+        S.BRONZE_LOADED_AT, F.lit(datetime(2026, 2, 2)))
+    new = old.withColumn("play_id", F.lit(12345).cast("bigint"))
+    append_table(again.unionByName(new), bronze, partition_by=["season"])
+    assert run_silver(spark, bronze, silver, season_in_key=True, loaded_at=STAMP)
+    after = _dirs(spark, silver)
+    assert after["season=1995"] == before["season=1995"]
+    assert after["season=1996"] != before["season=1996"]
+    full = silver_plays(read_table(spark, bronze), STAMP)
+    table = read_table(spark, silver)
+    assert rows_of(table) == rows_of(full.select(*table.columns))
+    assert table.where("epa = 99").count() == table.where("play_id = 12345").count() == 1
+
+
+def test_nothing_new_writes_nothing(spark, two_seasons):
+    bronze, silver = two_seasons
+    number = versions.current(spark, silver).number
+    assert run_silver(spark, bronze, silver, season_in_key=True)
+    assert versions.current(spark, silver).number == number
+
+
+def test_a_season_taken_out_of_bronze_leaves_silver(spark, two_seasons):
+    bronze, silver = two_seasons
+    replace_table(read_table(spark, bronze).where("season = 1996"), bronze,
+                  partition_by=["season"])
+    assert run_silver(spark, bronze, silver, season_in_key=True)
+    assert set(_dirs(spark, silver)) == {"season=1996"}
+
+
+def test_silver_built_whole_is_built_whole_again(spark, sf_dir, two_seasons):
+    bronze, silver = two_seasons
+    run_silver(spark, bronze, silver, loaded_at=STAMP)
+    whole = _dirs(spark, silver)
+    run_silver(spark, bronze, silver, season_in_key=True, loaded_at=STAMP)
+    assert not set(whole.values()) & set(_dirs(spark, silver).values())
+
+
+def test_an_overtaken_silver_run_starts_again(spark, sf_dir, monkeypatch, two_seasons):
+    bronze, silver = two_seasons
+    commit, tries = versions.commit, []
+    run_bronze(plays_from_lineitem(spark, sf_dir, [1997]), bronze, season_in_key=True)
+
+    def overtaken(spark_, path, *args, **kwargs):
+        tries.append(path)
+        if len(tries) == 1:
+            run_silver(spark, bronze, silver, season_in_key=True, loaded_at=STAMP)
+        return commit(spark_, path, *args, **kwargs)
+
+    monkeypatch.setattr(versions, "commit", overtaken)
+    assert run_silver(spark, bronze, silver, season_in_key=True, loaded_at=STAMP)
+    assert set(_dirs(spark, silver)) == {"season=1995", "season=1996", "season=1997"}
+    assert read_table(spark, silver).where("season = 1997").count() == \
+        read_table(spark, bronze).where("season = 1997").count()
