@@ -1,0 +1,105 @@
+"""Source divergence against a plain version; the pointer sort; odd rows."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from gridstats.llm import divergence as D
+
+DDL = "doc_id long, text string, lang string, source string"
+WORD = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return ["".join(c.lower() if "A" <= c <= "Z" else c for c in w)
+            for w in WORD.findall(text or "")]
+
+
+def plain(rows, top=200, min_docs=3, scale=10**9):
+    docs = [(lang or "", source or "", words(text)) for _, text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        mine = [d for d in docs if d[0] == lang]
+        held = Counter(w for d in mine for w in set(d[2]))
+        kept = sorted(w for w, n in held.items() if n >= min_docs)
+        count = {s: Counter(w for d in mine if d[1] == s for w in d[2] if held[w] >= min_docs)
+                 for s in {d[1] for d in mine}}
+
+        def shares(c):
+            return {w: 1 + scale * (c[w] + 1) // (sum(c.values()) + len(kept)) for w in kept}
+
+        p, q = {s: shares(c) for s, c in count.items()}, shares(sum(count.values(), Counter()))
+        for s in count:
+            pairs = [(-sum((p[s][w] - p[o][w]) ** 2 // p[o][w] for w in kept), o.encode(), o)
+                     for o in count if o != s]
+            terms = [(-((p[s][w] - q[w]) ** 2 // q[w]), w.encode(), w)
+                     for w in kept if count[s][w] and p[s][w] > q[w]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item, -v, r + 1)
+                        for r, (v, _, item) in enumerate(found)]
+    return sorted(out)
+
+
+def made(seed, n=80):
+    r = random.Random(seed)
+    stock = ["a", "A", "bb", "Straße", "straßeN", "éa", "中文", "\U0001f600x", "pseudopseudo",
+             "pseudopseudohypo", "pseudopseudohypoparathyroid", "pseudopseudohypoparathyroiD",
+             "x" * 300, "x" * 301, "x" * 8, "x" * 16]
+    rows = []
+    for i in range(n):
+        text = "".join(r.choice(stock) + r.choice([" ", "1", "-", "\n", "\x00", "@[`{"])
+                       for _ in range(r.randrange(40)))
+        rows.append((i, text, r.choice(["en", "de", None]), r.choice(["s1", "s2", "s3", None, "é"])))
+    return rows + [rows[7]] * 4 + [(900, None, "en", "silent"), (901, "", "xx", "one"),
+                                   (902, "--", "yy", "one"), (903, None, "yy", "two"),
+                                   (None, "a bb " * 5000, "de", "s1")]
+
+
+def got(frame, **options):
+    rows = D.source_divergence(frame, **options).select(
+        "lang", "source", "part", "item", "value", "rank").collect()
+    return sorted(map(tuple, rows))
+
+
+@pytest.mark.parametrize("seed, slice_bytes", [(1, 1 << 20), (2, 500), (3, 1)])
+def test_audit_equals_a_plain_version(spark, seed, slice_bytes):
+    rows = made(seed)
+    frame = spark.createDataFrame(rows, DDL).repartition(3)
+    assert got(frame, slice_bytes=slice_bytes) == plain(rows)
+
+
+def test_fewer_pairs_at_once_and_fewer_terms(spark, monkeypatch):
+    monkeypatch.setattr(D, "PAIRS_AT_ONCE", 7)
+    rows = made(4)
+    assert got(spark.createDataFrame(rows, DDL), top_terms=3, min_docs=5) == plain(rows, 3, 5)
+
+
+def test_pointer_sort_equals_sorting_the_words():
+    r = random.Random(5)
+    text = " ".join("".join(r.choice("ab") for _ in range(r.randrange(1, 30)))
+                    for _ in range(2000)).encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, lengths, doc = D.word_pointers(data, np.array([len(text)]))
+    groups = np.array([r.randrange(3) for _ in starts])
+    order, first = D.multikey_sort(data, starts, lengths, groups)
+    word = [text[s:s + n] for s, n in zip(starts, lengths)]
+    assert [(groups[i], word[i], i) for i in order] == sorted(
+        (groups[i], word[i], i) for i in range(len(word)))
+    assert first.sum() == len(set(zip(groups.tolist(), word))) and not doc.any()
+
+
+def test_texts_side_by_side_in_the_buffer_do_not_run_together():
+    data = np.frombuffer("abcd9éf".encode(), np.uint8)
+    starts, lengths, doc = D.word_pointers(data, np.array([2, 2, 4, 8]))
+    assert list(zip(starts, lengths, doc)) == [(0, 2, 0), (2, 2, 2), (5, 3, 3)]
+
+
+def test_empty_tables_and_other_columns(spark):
+    rows = [(*row, 1, "t", "n") for row in made(6)]
+    frame = spark.createDataFrame(rows, DDL + ", n int, term string, gid string")
+    assert got(frame) == plain([row[:4] for row in rows])
+    assert got(frame.limit(0)) == []
+    assert got(spark.createDataFrame([(1, None, None, None)], DDL)) == []
