@@ -50,22 +50,35 @@ def plays_by_player(plays: DataFrame, players: Iterable[str] | None = None, *,
     return exploded if wanted is None else exploded.where(F.col(S.PLAYER).isin(wanted))
 
 
+FILLS = ({c: "0.0D" for c in S.FILL_WITH_ZERO_FLOAT}
+         | {c: "0" for c in S.FILL_WITH_ZERO_INT}
+         | {"td_player_name": f"'{S.FILL_TD_PLAYER}'"})
+
+
 def clean(plays: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
     """The fixed play columns with nulls filled and the load stamp added.
 
     ``coalesce`` rather than ``fillna``: the latter would also overwrite NaN.
     """
-    lineage = [c for c in (S.PLAYER, S.INGEST_SEQ) if c in plays.columns]
-    fills = ({c: "0.0D" for c in S.FILL_WITH_ZERO_FLOAT}
-             | {c: "0" for c in S.FILL_WITH_ZERO_INT}
-             | {"td_player_name": f"'{S.FILL_TD_PLAYER}'"})
+    lineage = [c for c in (S.PLAYER, S.INGEST_SEQ, S.CONTENT_DIGEST) if c in plays.columns]
     filled = plays.selectExpr(
         *lineage,
-        *[f"coalesce({c}, {fills[c]}) AS {c}" if c in fills else f"`{c}`"
+        *[f"coalesce({c}, {FILLS[c]}) AS {c}" if c in FILLS else f"`{c}`"
           for c in S.PLAY_COLUMNS])
     return filled.withColumn(S.BRONZE_LOADED_AT, timestamp_column(loaded_at))
 
 
+def with_digest(plays: DataFrame) -> DataFrame:
+    """``content_digest``: what the play columns hold once filled and stored, so that
+    a delivery and its stored rows have the same, whatever types it came in."""
+    def stored(c: str) -> str:
+        text = isinstance(plays.schema[c].dataType, T.StringType)
+        typed = f"{'try_cast' if text else 'cast'}(`{c}` AS {S.BRONZE_TYPES[c]})"
+        return f"coalesce({typed}, {FILLS[c]}) AS `{c}`" if c in FILLS else f"{typed} AS `{c}`"
+    values = ", ".join(stored(c) for c in S.PLAY_COLUMNS)
+    return plays.withColumn(S.CONTENT_DIGEST, F.expr(f"md5(to_json(struct({values})))"))
+
+
 _NUMBERS = (T.NumericType, T.BooleanType, T.NullType)
 _KINDS = {
     "string": (T.StringType, T.NullType),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridstats.schema import BRONZE_LOADED_AT, INGEST_SEQ
+from gridstats.schema import BRONZE_LOADED_AT, CONTENT_DIGEST, INGEST_SEQ
 
 
 def _keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -75,3 +75,20 @@ def exclude_recorded(plays: DataFrame, recorded: DataFrame,
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return plays.where(complete).join(
         recorded.select(*keys).where(complete), list(keys), "left_anti")
+
+
+def exclude_unchanged(plays: DataFrame, recorded: DataFrame,
+                      keys: Sequence[str]) -> DataFrame:
+    """Plays that are not recorded, or whose last record has other contents.
+
+    Both sides have a ``content_digest``. Recorded plays are folded to the last digest
+    of each key before the exchange, so a play corrected any number of times sends one
+    row per task. Incomplete keys are dropped.
+    """
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    arrival = [c for c in (BRONZE_LOADED_AT, INGEST_SEQ) if c in recorded.columns]
+    last = recorded.where(complete).groupBy(*keys).agg(
+        F.max(F.struct(*arrival, CONTENT_DIGEST))[CONTENT_DIGEST].alias("_recorded"))
+    return (plays.where(complete).join(last, list(keys), "left")
+            .where(F.col("_recorded").isNull() | (F.col("_recorded") != F.col(CONTENT_DIGEST)))
+            .drop("_recorded"))

@@ -10,20 +10,24 @@ from pyspark.sql import DataFrame
 from gridstats import schema as S
 from gridstats.operators import bronze as B
 from gridstats.operators import silver as V
-from gridstats.operators.dedup import exclude_recorded, keep_any, keep_last
+from gridstats.operators.dedup import (
+    exclude_recorded, exclude_unchanged, keep_any, keep_last)
 from gridstats.operators.quality import require_columns
 
 
 def new_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
               player: str | None = None, players: Iterable[str] | None = None,
               passer: str = S.PASSER, rusher: str = S.RUSHER,
-              season_in_key: bool = False, unique_arrival: bool = False) -> DataFrame:
+              season_in_key: bool = False, corrections: bool = False,
+              unique_arrival: bool = False) -> DataFrame:
     """Distinct plays of the wanted players that ``recorded`` does not hold.
 
     ``player`` selects one player and leaves the rows without a player column;
     otherwise every play is kept once per player involved, for all players or
     for ``players``. Nulls are still unfilled. With ``season_in_key`` plays are
-    compared with recorded ones of their own season only. ``unique_arrival``
+    compared with recorded ones of their own season only. With ``corrections`` plays
+    get a digest of their contents, and recorded plays that now come with other
+    contents are plays to add, too. ``unique_arrival``
     declares that copies of a play differ in ``ingest_seq``.
     """
     if player is not None:
@@ -34,7 +38,12 @@ def new_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
     if season_in_key:
         keys = [*keys, "season"]
     distinct = keep_any(chosen, keys, unique_arrival=unique_arrival)
-    return distinct if recorded is None else exclude_recorded(distinct, recorded, keys)
+    if corrections:
+        distinct = B.with_digest(distinct)
+    if recorded is None:
+        return distinct
+    exclude = exclude_unchanged if corrections else exclude_recorded
+    return exclude(distinct, recorded, keys)
 
 
 def bronze_plays(raw: DataFrame, recorded: DataFrame | None = None, *,

@@ -24,7 +24,7 @@ from gridstats.plans.layers import new_plays, silver_plays
 from gridstats.plans.performance import qb_performance
 from gridstats.plans.splits import (
     GAME_TABLES, SPLIT_TABLES, build, family_of, partial_sums)
-from gridstats.sources import versions
+from gridstats.sources import keys, versions
 from gridstats.sources.tables import (
     append_once, read_table, read_table_if_any, rebalanced, replace_table)
 from gridstats.sources.versions import Conflict, Version
@@ -54,7 +54,8 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
                players: Iterable[str] | None = None,
                passer: str = S.PASSER, rusher: str = S.RUSHER,
                recorded_seasons: Sequence[int] | None = None,
-               season_in_key: bool = False,
+               season_in_key: bool = False, key_table: bool = False,
+               corrections: bool = False,
                loaded_at: datetime | None = None) -> BronzeReport:
     """Append the plays of ``raw`` that bronze does not hold yet.
 
@@ -72,27 +73,54 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
     part of the key, and only the delivered seasons' directories are read.
     ``passer`` and ``rusher`` name the columns to select players by.
 
+    With ``key_table`` the recorded keys come from a narrow table beside bronze that
+    this run brings up to date (``sources.keys``): where games may span seasons, all
+    of the history counts, and neither wide files are read nor keys shuffled.
+
+    With ``corrections`` a recorded play that is delivered with other contents is
+    appended once more, and the later arrival is the one that reaches silver; equal
+    contents add nothing. Bronze then has a digest of the contents beside the key,
+    from its first run on or added by ``add_digests``. ``loaded_at`` must grow.
+
     Columns are stored under the declared types of ``schema.BRONZE_TYPES``; a
     delivery of another kind of type is refused before anything is written.
     """
     B.require_kinds(raw)
+    if key_table and (corrections or season_in_key or recorded_seasons is not None):
+        raise ValueError("key_table compares the keys of all seasons and nothing else")
     spark = raw.sparkSession
     if season_in_key and recorded_seasons is None:
         recorded_seasons = [r["season"] for r in raw.select("season").distinct().collect()]
 
-    def append() -> BronzeReport:
-        base = versions.current(spark, bronze_path)
-        recorded = (read_table_if_any(spark, bronze_path) if base is None
-                    else versions.read(spark, bronze_path, base))
+    def chosen(base: Version | None) -> DataFrame:
+        recorded = known = None
+        if base is not None and key_table:
+            known = keys.recorded(spark, bronze_path, base)
+        elif base is not None:
+            recorded = versions.read(spark, bronze_path, base)
+        else:
+            recorded = read_table_if_any(spark, bronze_path)
         if recorded is not None and recorded_seasons is not None:
             recorded = recorded.where(F.col("season").isin(list(recorded_seasons)))
+        if corrections and recorded is not None and S.CONTENT_DIGEST not in recorded.columns:
+            raise ValueError(f"{bronze_path} holds plays without digests: see add_digests")
         fresh = new_plays(raw, recorded, player=player, players=players, passer=passer,
-                          rusher=rusher, season_in_key=season_in_key)
+                          rusher=rusher, season_in_key=season_in_key, corrections=corrections)
+        if not corrections and base is not None and S.CONTENT_DIGEST in base.schema.names:
+            fresh = B.with_digest(fresh)
+        return fresh if known is None else keys.exclude_bucketed(
+            fresh, known, keys.n_buckets(spark, bronze_path))
+
+    def append() -> BronzeReport:
+        base = versions.current(spark, bronze_path)
+        fresh = chosen(base)
         seen = Observation("new_plays")
         watched = rebalanced(fresh, "season").observe(
             seen, F.count(F.lit(1)).alias("n_plays"), *null_counts())
-        append_once(B.as_declared(B.clean(watched, loaded_at)), bronze_path, base,
-                    partition_by=["season"])
+        version = append_once(B.as_declared(B.clean(watched, loaded_at)), bronze_path, base,
+                              partition_by=["season"])
+        if key_table and version is not None:
+            keys.refresh(spark, bronze_path, version)
         counts = seen.get
         return BronzeReport(counts["n_plays"],
                             {c: counts[f"{c}_nulls"] for c in CRITICAL_COLUMNS})
@@ -105,6 +133,19 @@ def run_bronze(raw: DataFrame, bronze_path: str, *, player: str | None = None,
     return report
 
 
+def add_digests(spark: SparkSession, bronze_path: str) -> None:
+    """Write bronze once more with the digests that corrections are found by."""
+    def step() -> None:
+        base = versions.current(spark, bronze_path)
+        table = read_table(spark, bronze_path)
+        everything = {versions.partition_of(d) for d in base.directories} if base else None
+        replace_table(B.with_digest(table), bronze_path, partition_by=["season"],
+                      cluster_by=["game_id"], partitions=everything, base=base,
+                      notes=base.notes if base else None)
+
+    _until_committed(step)
+
+
 def _until_committed(step: Callable[[], T]) -> T:
     """Repeat a step that another writer has overtaken."""
     for _ in range(ATTEMPTS):

@@ -105,6 +105,9 @@ PASSER, RUSHER = "passer_player_name", "rusher_player_name"
 INGEST_SEQ = "ingest_seq"
 BRONZE_LOADED_AT = "bronze_loaded_at"
 
+# Beside the key where bronze takes corrections: a digest of all play columns.
+CONTENT_DIGEST = "content_digest"
+
 # What bronze stores: numbers wide enough for every delivery, whether it brings
 # flags as integers or as floating point. The season is the partition directory.
 _WHOLE = {"play_id": "bigint", "season": "int", INGEST_SEQ: "bigint"}

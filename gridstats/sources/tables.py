@@ -6,16 +6,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from gridstats.sources import versions
 from gridstats.sources.versions import Conflict, Version
 
-# What Spark reports for a table nobody has written to yet: no such path, or a
-# directory without data files.
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     version = versions.current(spark, path)
@@ -25,14 +20,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def read_table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None if it was never written, or not to the end; other errors
     propagate."""
-    if versions.uncommitted(spark, path):
-        return None
-    try:
-        return read_table(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
-            return None
-        raise
+    return None if versions.absent(spark, path) else read_table(spark, path)
 
 
 def append_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> Version:
