@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,62 @@ from gridstats.operators.bronze import as_declared, require_kinds
 from gridstats.operators.quality import require_columns
 
 
+# Formats whose files say what types they hold.
+TYPED_FORMATS = ("parquet", "orc")
+
+
+def _read_merged(spark: SparkSession, source_format: str, path: str,
+                 files: list[str]) -> DataFrame | None:
+    """The files as one table with the columns of all of them, None if a column has
+    different types. Footers are read and compared by a distributed job."""
+    reader = spark.read.format(source_format).option("basePath", path)
+    try:
+        return reader.option("mergeSchema", "true").load(files)
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+        return None
+
+
+def _of_one_type(spark: SparkSession, source_format: str, path: str,
+                 files: list[str]) -> list[list[str]]:
+    """The files in groups whose types agree.
+
+    Files that differ are halved until they agree, and halves that agree are put
+    together again. Deliveries come in runs, so there are few halves."""
+    if _read_merged(spark, source_format, path, files) is not None or len(files) == 1:
+        return [files]
+    middle = len(files) // 2
+    groups: list[tuple[dict[str, str], list[str]]] = []
+    for half in (files[:middle], files[middle:]):
+        for group in _of_one_type(spark, source_format, path, half):
+            types = dict(_read_merged(spark, source_format, path, group).dtypes)
+            for known, members in groups:
+                if all(known.get(c, t) == t for c, t in types.items()):
+                    known.update(types)
+                    members.extend(group)
+                    break
+            else:
+                groups.append((types, list(group)))
+    return [members for _, members in groups]
+
+
+def _season(spark: SparkSession, path: str, season: int, source_format: str) -> list[DataFrame]:
+    """The season's plays as tables that are each of one type, mostly a single one."""
+    directory = f"{path.rstrip('/')}/season={season}"
+    if source_format not in TYPED_FORMATS:
+        return [spark.read.format(source_format).option("basePath", path).load(directory)]
+    merged = _read_merged(spark, source_format, path, [directory])
+    if merged is not None:
+        return [merged]
+    files = sorted(spark.read.format(source_format).load(directory).inputFiles())
+    return [_read_merged(spark, source_format, path, group)
+            for group in _of_one_type(spark, source_format, path, files)]
+
+
 def _by_season(spark: SparkSession, path: str, wanted: list[int] | None,
                source_format: str) -> DataFrame | None:
-    """The seasons' directories, each read with its own types and cast to the
+    """The seasons' directories, files of equal types read together and cast to the
     declared ones; None if the data are not laid out by season. The number of
     directories is bounded by the calendar."""
     whole = spark.read.format(source_format).load(path)
@@ -29,15 +83,14 @@ def _by_season(spark: SparkSession, path: str, wanted: list[int] | None,
     parts = []
     for season in sorted(wanted):
         try:
-            part = (spark.read.format(source_format).option("basePath", path)
-                    .load(f"{path.rstrip('/')}/season={season}")
-                    .where(F.col("season") == season))
+            tables = _season(spark, path, season, source_format)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        require_kinds(part)
-        parts.append(as_declared(part))
+        for part in tables:
+            require_kinds(part)
+            parts.append(as_declared(part.where(F.col("season") == season)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) \
         if parts else as_declared(whole).limit(0)
 
@@ -48,7 +101,7 @@ def read_plays(spark: SparkSession, path: str, seasons: Iterable[int] | None = N
     """Plays of the given seasons.
 
     On data partitioned by ``season`` the filter selects directories, and every
-    season may store numbers in its own types; otherwise the filter is pushed into
+    file may store numbers in its own types; otherwise the filter is pushed into
     the scan. ``schema`` overrides what files say. Columns nobody uses are never read;
     ``extra_columns`` keeps more of them, such as player ids to select by.
     """

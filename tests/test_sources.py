@@ -1,4 +1,7 @@
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of
 from gridstats import schema as S
@@ -82,3 +85,43 @@ def test_clustered_files_cover_disjoint_key_ranges(spark, tmp_path):
     ranges = sorted((r["lo"], r["hi"]) for r in read_table(spark, path).groupBy(
         F.input_file_name()).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect())
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def _deliveries(spark, sf_dir, path, *kinds):
+    """One season, delivered in as many files as there are kinds of ``sack``."""
+    plays = plays_from_lineitem(spark, sf_dir, [1996]).withColumn("sack", F.col("play_id") % 2)
+    for n, kind in enumerate(kinds):
+        part = plays.where(F.col("play_id") % len(kinds) == n).withColumn(
+            "sack", F.col("sack").cast(kind))
+        part = part.drop("season") if n else part.drop("season", "ingest_seq")
+        part.coalesce(1).write.parquet(f"{path}/tmp{n}")
+        files = [f for f in Path(f"{path}/tmp{n}").iterdir() if f.name.startswith("part-")]
+        Path(f"{path}/plays/season=1996").mkdir(parents=True, exist_ok=True)
+        for f in files:
+            f.rename(f"{path}/plays/season=1996/part-{n:05d}{f.suffix}")
+    return f"{path}/plays", plays
+
+
+@pytest.mark.parametrize("kinds", [
+    ("int", "double"), ("double", "int"), ("tinyint", "int", "bigint", "double", "float"),
+    ("int", "double") * 3, ("bigint", "bigint")])
+def test_files_of_one_season_may_differ_in_type(spark, sf_dir, tmp_path, kinds):
+    path, plays = _deliveries(spark, sf_dir, tmp_path, *kinds)
+    read = read_plays(spark, path, [1996])
+    assert dict(read.dtypes)["sack"] == "double"
+    assert rows_of(read.selectExpr("game_id", "play_id", "sack", "epa", "season")) == rows_of(
+        plays.selectExpr("game_id", "cast(play_id as bigint)", "cast(sack as double)", "epa",
+                         "season"))
+    # Files of equal types are read together, whatever lies between them.
+    scans = plan_of(read.select("sack")).count("FileScan")
+    assert scans == len(set(kinds))
+
+
+def test_files_of_another_kind_are_refused_by_name(spark, sf_dir, tmp_path):
+    path, _ = _deliveries(spark, sf_dir, tmp_path, "int", "string")
+    with pytest.raises(ValueError, match="sack string"):
+        read_plays(spark, path, [1996])
+
+
+def rows_of(frame):
+    return sorted(map(repr, frame.collect()))
