@@ -30,6 +30,7 @@ from gridstats.plans.layers import bronze_plays, new_plays, silver_plays
 from gridstats.plans.performance import qb_performance
 from gridstats.plans.splits import SPLIT_TABLES, build
 from gridstats.sources.lineitem_plays import plays_from_lineitem
+from gridstats.sources.scratch import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +43,7 @@ SECOND_LOAD = datetime(2026, 1, 2)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # No two lines of a play have the same part, so arrivals are unique.
-    return silver_plays(bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD,
-                                     unique_arrival=True), unique_arrival=True)
+    return silver_plays(bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD))
 
 
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +52,7 @@ def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct plays under their silver names, nulls as they came."""
-    return V.rename_columns(new_plays(plays_from_lineitem(spark, sf_dir),
-                                      unique_arrival=True))
+    return V.rename_columns(new_plays(plays_from_lineitem(spark, sf_dir)))
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -120,8 +118,7 @@ def bronze_null_report(spark, sf_dir):
 def bronze_plays_table(spark, sf_dir):
     """Every column of bronze but its load stamp, under the types it is stored in;
     the date is shown as text."""
-    bronze = bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD,
-                          unique_arrival=True)
+    bronze = bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD)
     return B.as_declared(bronze).drop(S.BRONZE_LOADED_AT).withColumn(
         "game_date", F.col("game_date").cast("string"))
 
@@ -284,8 +281,11 @@ RATES_SEEN = {
 
 
 def gold_nonfinite_counts(spark, sf_dir):
-    """NaN, infinities and NULLs in the rates of five gold tables, as they are stored."""
-    silver = _silver(spark, sf_dir)
+    """NaN, infinities and NULLs in the rates of five gold tables, as they are stored.
+
+    The tables group by different keys; silver is deduplicated and stored once for them."""
+    silver = stored(_silver(spark, sf_dir).drop("play_description", "silver_loaded_at"),
+                    "nonfinite-silver")
 
     def counts(name: str, rates: tuple[str, ...]) -> DataFrame:
         table = (qb_performance(silver, team=TEAM) if name == "qb_performance"

@@ -41,10 +41,13 @@ def checkpoint_location(spark: SparkSession, name: str, given: str | None = None
 
 
 def unseen_plays(stream: DataFrame, *, player: str | None = None,
-                 players: Iterable[str] | None = None) -> DataFrame:
-    """Plays whose complete key has not come by before."""
-    chosen = (B.plays_of(stream, player) if player is not None
-              else B.plays_by_player(stream, players))
+                 players: Iterable[str] | None = None, passer: str = S.PASSER,
+                 rusher: str = S.RUSHER) -> DataFrame:
+    """Plays whose complete key has not come by before; ``passer`` and ``rusher`` name
+    the columns to select players by."""
+    chosen = (B.plays_of(stream, player, passer=passer, rusher=rusher)
+              if player is not None
+              else B.plays_by_player(stream, players, passer=passer, rusher=rusher))
     keys = S.player_key(chosen.columns)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return chosen.where(complete).dropDuplicates(keys)
@@ -53,6 +56,7 @@ def unseen_plays(stream: DataFrame, *, player: str | None = None,
 def ingest_available(spark: SparkSession, source: str, bronze_path: str, *,
                      schema: str = S.RAW_DDL, checkpoint: str | None = None,
                      player: str | None = None, players: Iterable[str] | None = None,
+                     passer: str = S.PASSER, rusher: str = S.RUSHER,
                      loaded_at: datetime | None = None) -> StreamingQuery:
     """Append what has arrived in ``source`` to bronze, then stop.
 
@@ -61,7 +65,8 @@ def ingest_available(spark: SparkSession, source: str, bronze_path: str, *,
     """
     stream = spark.readStream.schema(schema).parquet(source)
     B.require_kinds(stream)
-    unseen = unseen_plays(stream, player=player, players=players)
+    unseen = unseen_plays(stream, player=player, players=players, passer=passer,
+                          rusher=rusher)
     return (B.as_declared(B.clean(unseen, loaded_at)).writeStream
             .format("parquet").outputMode("append")
             .partitionBy("season")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from gridstats import schema as S
 from gridstats.plans.layers import new_plays
@@ -62,3 +63,17 @@ def test_checkpoint_has_no_local_default(spark):
                 return default
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_location(Unset, "x")
+
+
+def test_players_can_be_selected_by_other_columns(spark, sf_dir, tmp_path):
+    source, bronze = str(tmp_path / "source"), str(tmp_path / "bronze")
+    raw = plays_from_lineitem(spark, sf_dir, [1996]).selectExpr(
+        *[f"cast(`{c}` AS {t}) AS `{c}`" for c, t in S.RAW_TYPES.items()])
+    ids = raw.selectExpr("*", f"{S.PASSER} AS pid", f"{S.RUSHER} AS rid").withColumns(
+        {c: F.lit(None).cast("string") for c in (S.PASSER, S.RUSHER)})
+    ids.write.parquet(source)
+    finish(ingest_available(
+        spark, source, bronze, checkpoint=str(tmp_path / "state"), passer="pid", rusher="rid",
+        schema=f"{S.RAW_DDL}, pid string, rid string"))
+    assert read_table(spark, bronze).count() == new_plays(raw).where(
+        "game_id IS NOT NULL AND play_id IS NOT NULL").count() > 0
