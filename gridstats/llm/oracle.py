@@ -92,7 +92,17 @@ rows_ AS (
 SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)
   AS INTEGER) AS rank FROM rows_ QUALIFY part = 'pair' OR rank <= 200"""
 
+_ARCHIVES = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+n AS (SELECT *, strlen(h) AS payload_bytes,
+        max(page_id) OVER (PARTITION BY h) AS last_id FROM p),
+r AS (SELECT *, payload_bytes >= 1000 AND page_id < last_id AS again FROM n)
+SELECT page_id, payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN last_id END AS refers_to FROM r"""
+
 ORACLE = {
+    "op9_warc": _ARCHIVES,
     "op11_vector_codes": _vector_codes(),
     "op12_shared_lines": _SHARED_LINES,
     "op13_source_divergence": _DIVERGENCE,

@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstats.sources.scratch import shared_folder
+
 # A word is a run of characters other than blank, tab, line feed, vertical tab,
 # form feed and carriage return.
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -26,18 +28,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANKS), "")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors and the driver see, from the session.
-
-    Only where the session names none (local tests) a temporary one is set.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="gridstats-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder if "://" in folder or folder.startswith("file:") else "file://" + folder
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/gridstats/{name}-{uuid.uuid4().hex}"
 
@@ -50,6 +40,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(work: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """Rows that each stand for much work, such as files to read, over as many tasks as
+    there are rows, or a few for each core. A partitioning without a number would be
+    merged to one task, as the rows themselves are small."""
+    cores = work.sparkSession.sparkContext.defaultParallelism
+    return work.repartition(max(1, min(rows, 4 * cores)), *columns)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marked for broadcast only if a count proves it holds at most ``rows`` rows;
     beyond that Spark shuffles. For thin tables of fixed-width columns."""

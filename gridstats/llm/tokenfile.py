@@ -15,7 +15,6 @@ import json
 import re
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,13 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridstats.llm.files import read_at, write_whole
-from gridstats.llm.shared import Recent, new_path, ship_package, stored, text_of
+from gridstats.llm.shared import new_path, ship_package, spread, stored, text_of
 
 CHUNK_IDS = 1 << 16
 LEVEL = 3
 END = b"PLANES01"
-CACHED_WORDS = 600_000     # per worker process, and twice as many parts of words
-CACHED_LENGTH = 48
+CACHED_PIECES = 1_000_000  # different pieces that a worker keeps the ids of
+WORDS_AT_ONCE = 1000       # words that go through the library as one text
+CHARS_AT_ONCE = 1 << 20    # text that is cut into pieces at a time
 FILE_IDS = 64 << 20        # ids after which a task starts a new file
 
 INDEX_SCHEMA = "path string, part int, file int, ids long"
@@ -146,82 +146,130 @@ class PlaneReader:
 
 # --- encoding -------------------------------------------------------------------------
 
-class Encoder:
-    """The library's ids of a text, words looked up where that cannot differ.
+# What the byte-level pre-tokenizer takes for letters, numbers and white space among
+# the characters below U+0250.
+_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_SPACES = "\t-\r \u0085\u00a0"
+_PIECE = re.compile(
+    f" ?[{_LETTERS}]+| ?[{_NUMBERS}]+|'s|'t|'re|'ve|'m|'ll|'d|"
+    f" ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
+_WORD = re.compile(f" [{_LETTERS}]+")
+_BEYOND = re.compile("[^\0-\u024f]")
+# A blank between letters always starts a piece: a text may be cut there.
+_CUT = re.compile(f"(?<=[{_LETTERS}]) (?=[{_LETTERS}])")
+
 
-    A blank between two other characters always starts a piece of the byte-level
-    pre-tokenizer, so a text without white space beside a blank may be encoded word
-    by word; and letters, punctuation after them, and a single line feed are pieces
-    of their own, so a word may be put together from such parts. Texts with special
-    strings, and all others, are encoded whole.
+class Encoder:
+    """The library's ids of texts, by pieces that it has encoded before.
+
+    The byte-level pre-tokenizer cuts a text into pieces that are encoded by
+    themselves. Texts of characters below U+0250 are cut the same way here, and each
+    different piece goes through the library once, words after a blank many at a time:
+    the first id of such a word, and no other, starts with the blank. Texts with other
+    characters or special strings, and all texts where the vocabulary has another
+    pre-tokenizer, are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        cutter = made.get("pre_tokenizer") or {}
+        self.by_piece = (
+            made.get("normalizer") is None and cutter.get("type") == "ByteLevel"
+            and cutter.get("use_regex", True) and not cutter.get("add_prefix_space"))
         self.special = [t.content for t in
                         self.tokenizer.get_added_tokens_decoder().values()]
-        self.words, self.parts = Recent(CACHED_WORDS), Recent(2 * CACHED_WORDS)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in
+        self.after_blank = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.after_blank[[i for token, i in self.tokenizer.get_vocab().items()
+                          if token.startswith("\u0120")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
+        self.starts = np.zeros(1 << 14, np.int64)         # of a piece's ids in ``flat``
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of words that follow a blank into the table, by their parts."""
-        cut = {w: _parts(w) for w in words}
-        parts = {part for pieces in cut.values() for part in pieces}
-        known = self.parts.holding(parts)
-        fresh = [part for part in parts if part not in known]
-        known.update(zip(fresh, self._encode(fresh)))
-        ids = known.__getitem__
-        self.words.new.update(
-            (w, ids(pieces[0]) if len(pieces) == 1 else b"".join(map(ids, pieces)))
-            for w, pieces in cut.items())
-
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        if (_BESIDE_BLANK.search(text) or text[0] == " " or text[-1] == " "
-                or any(s in text for s in self.special)):
-            return self._encode([text])[0]
-        first, *rest = text.split(" ")
-        wanted = set(rest)
-        table = self.words.holding(wanted)
-        missing = wanted.difference(table)
-        if missing:
-            self._learn(missing)
-        out = self._encode([first])[0] + b"".join(map(table.__getitem__, rest))
-        for table in (self.words.new, self.parts.new):
-            for long in [w for w in missing if len(w) > CACHED_LENGTH]:
-                table.pop(long, None)
-                table.pop(" " + long, None)
-        return out
-
-
-# What Python takes for white space includes all that the pre-tokenizer does.
-_BESIDE_BLANK = re.compile(r"\s | \s")
-_STOPS = ".,;:!?"
-
-
-def _parts(word: str) -> list[str]:
-    """A word after a blank as pieces that are encoded by themselves."""
-    lines = word.split("\n")
-    if len(lines) > 1 and word.split() != lines:
-        return [" " + word]
-    parts = []
-    for n, line in enumerate(lines):
-        start = "" if n else " "
-        if n:
-            parts.append("\n")
-        core = line.rstrip(_STOPS)
-        if core != line and core.isalpha():
-            parts += [start + core, line[len(core):]]
-        else:
-            parts.append(start + line)
-    return parts
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that all follow a blank, and where those of each begin."""
+        lots = ["".join(words[i:i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *self._encode(lots)])
+        begin = np.flatnonzero(self.after_blank[ids])
+        if len(begin) != len(words):
+            raise ValueError("words do not start where the vocabulary says")
+        return ids, begin
+
+    def _learn(self, pieces: set[str]) -> None:
+        words = [p for p in pieces if _WORD.fullmatch(p)]
+        others = [p for p in pieces if not _WORD.fullmatch(p)]
+        ids, begin = self._encode_words(words)
+        found = self._encode(others)
+        more = np.cumsum([0, *map(len, found)]) + len(ids)
+        ids = np.concatenate([ids, *found])
+        n = len(self.places)
+        starts = np.concatenate((begin, more)) + self.used     # the last one: the end
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while len(self.starts) < n + len(starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.starts[n:n + len(starts)] = starts
+        self.used += len(ids)
+        self.places.update(zip(words + others, range(n, n + len(pieces))))
+
+    def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [_PIECE.findall(t) for t in texts]
+        new = set().union(*cut).difference(self.places)
+        if len(self.places) + len(new) > CACHED_PIECES:
+            self._forget()
+            new = set().union(*cut)
+        if new:
+            self._learn(new)
+        find = self.places.__getitem__
+        at = np.fromiter((find(p) for c in cut for p in c), np.int64, sum(map(len, cut)))
+        low, length = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(low - ends[:-1], length)]
+        return np.split(ids, ends[np.cumsum([len(c) for c in cut])[:-1]])
+
+    def batch(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of every text, in order."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            text = text or ""
+            if not self.by_piece or _BEYOND.search(text) or any(
+                    s in text for s in self.special):
+                yield from self._by_pieces(held) if held else ()
+                yield self._encode([text])[0]
+                held, size = [], 0
+            elif len(text) > 2 * CHARS_AT_ONCE:
+                yield from self._by_pieces(held) if held else ()
+                yield np.concatenate([self._by_pieces([part])[0] for part in _segments(text)])
+                held, size = [], 0
+            else:
+                held.append(text)
+                size += len(text)
+                if size > CHARS_AT_ONCE:
+                    yield from self._by_pieces(held)
+                    held, size = [], 0
+        yield from self._by_pieces(held) if held else ()
+
+
+def _segments(text: str) -> Iterator[str]:
+    """A long text in parts that start where a piece does."""
+    at = 0
+    while at < len(text):
+        cut = _CUT.search(text, at + CHARS_AT_ONCE)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 @lru_cache(maxsize=1)
@@ -245,21 +293,24 @@ def write_token_files(docs: DataFrame, folder: str, *, text: str = "text", key:
     ids); ``part`` and ``file`` give the order.
 
     Every text's ids are followed by ``end_id``; NULL and empty texts give that
-    alone. NULL keys come first, rows of one key in the order of their texts. Files
-    belong to one attempt of a task; the table lists those that succeeded.
+    alone. NULL keys come first, rows of one key in the order of their texts' hashes;
+    equal rows are told apart by where they were read, so no key, however frequent,
+    has to fit one task. Ranges are sampled without texts. Files belong to one attempt
+    of a task; the table lists those that succeeded.
     """
     ship_package()
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select(F.col(key).cast("long").alias("k"), text_of(text).alias("t"))
-               .repartitionByRange(n, "k").sortWithinPartitions("k", "t"))
+               .withColumns({"h": F.xxhash64("t"), "row": F.monotonically_increasing_id()})
+               .repartitionByRange(n, "k", "h", "row").sortWithinPartitions("k", "h", "t"))
     ordered = ordered.select("k", "t", F.spark_partition_id().alias("part"))
-    end = np.uint32(end_id).astype("<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(vocabulary).ids
+        encode = _encoder(vocabulary).batch
         rows = (row for pdf in batches
-                for row in zip(pdf["k"].astype("Int64"), pdf["t"], pdf["part"]))
+                for row in zip(pdf["k"].astype("Int64"), encode(pdf["t"]), pdf["part"]))
         row, number = next(rows, None), 0
         while row is not None:
             path = f"{folder}/{uuid.uuid4().hex}.planes"
@@ -268,7 +319,7 @@ def write_token_files(docs: DataFrame, folder: str, *, text: str = "text", key:
                 part = int(row[2])
                 while row is not None and out.total < FILE_IDS:
                     k = None if pd.isna(row[0]) else int(row[0])
-                    out.add(np.frombuffer(encode(row[1]) + end, "<u4"), k)
+                    out.add(np.concatenate((row[1], end)), k)
                     row = next(rows, None)
                 out.close()
             yield pd.DataFrame({"path": [path], "part": [part], "file": [number],
@@ -298,8 +349,7 @@ def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
                             rows = []
                 yield _documents(rows)
 
-    # One row per file: the tasks share the files out.
-    return placed.repartition("path").mapInPandas(
+    return spread(placed, files.count(), "path").mapInPandas(
         read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

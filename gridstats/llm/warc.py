@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm.files import read_at, write_whole
-from gridstats.llm.shared import new_path, ship_package, stored, text_of
+from gridstats.llm.shared import new_path, ship_package, spread, stored, text_of
 
 LEAST_REVISIT_BYTES = 1000    # smaller payloads are always stored
 SPLIT_BYTES = 8 << 20         # of an archive, per reading task
@@ -232,7 +232,7 @@ def read_archives(spark: SparkSession, files: DataFrame, *, payloads: bool = Tru
     ranges = files.select("path", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)),
         F.lit(split_bytes).cast("long"))).alias("start"))
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    ranges = spread(ranges, ranges.count(), "path", "start")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
