@@ -14,10 +14,18 @@ from gridstats.llm.shared import stored
 from gridstats.llm.simhash import keep_one
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column has."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rated = with_quality(docs, trusted_documents(spark, sf_dir), into="_quality")
-    return rated.where(F.col("_quality.kept")).drop("_quality")
+    into = _free(docs, "_quality")
+    rated = with_quality(docs, trusted_documents(spark, sf_dir), into=into)
+    return rated.where(F.col(into)["kept"]).drop(into)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +35,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    searched = with_leaks(docs, benchmark_table(spark, sf_dir), into="_leaks")
-    return searched.where(F.size("_leaks") == 0).drop("_leaks")
+    into = _free(docs, "_leaks")
+    searched = with_leaks(docs, benchmark_table(spark, sf_dir), into=into)
+    return searched.where(F.size(into) == 0).drop(into)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +46,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard, its place there, and its size."""
-    placed = with_shards(docs, into="_shard_of")
-    return placed.select(*docs.columns, "_shard_of.shard", "_shard_of.slot", "_shard_of.size")
+    """Every document with its shard, its place there, and its size; columns of these
+    names give way."""
+    new = ("shard", "slot", "size")
+    placed = with_shards(docs, into="shard")
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new],
+                         *[F.col("shard")[c].alias(c) for c in new])
 
 
 STAGES = [
