@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ MATCH_SCHEMA = ("array<struct<item_id: long, start_word: int, end_word: int, sta
                 " end: int, distance: int, item_words: int>>")
 
 _EDGES = re.compile(r"^\W+|\W+$")
+_COMMON_ENDS = ".,;:!?"     # the rest is looked for by the pattern
 _MIX = 0x9E3779B97F4A7C15   # an odd number; another multiple per walk
 
 
@@ -58,18 +60,25 @@ class Words:
         self.known: dict[str, int] = {}
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        import xxhash
-
         known = self.known
-        found = list(map(known.get, words))
-        if None in found:
+        try:
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        except KeyError:
             if len(known) > CACHED_WORDS:
                 known.clear()
-            for i, h in enumerate(found):
-                if h is None:
-                    w = words[i].casefold()
-                    found[i] = known[words[i]] = xxhash.xxh64_intdigest(_EDGES.sub("", w) or w)
-        return np.array(found, np.uint64)
+            fresh = set(words).difference(known)
+            known.update(zip(fresh, map(_word_hash, fresh)))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def _word_hash(word: str) -> int:
+    """Of the folded word without what stands at its ends and is neither letter, digit
+    nor underscore, or of the whole word where nothing would remain."""
+    folded = word.casefold()
+    plain = folded.rstrip(_COMMON_ENDS)
+    if not plain.isalnum():
+        plain = _EDGES.sub("", folded) or folded
+    return xxhash.xxh64_intdigest(plain)
 
 
 def anchors(hashes: np.ndarray) -> np.ndarray:
@@ -195,9 +204,11 @@ class ItemIndex:
     def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(column of the key, entry) for every entry that equals a key."""
         if self.filter is None:
-            self.filter = np.zeros(1 << 22, bool)
-            self.filter[self.keys >> np.uint64(42)] = True
-        maybe = np.flatnonzero(self.filter[keys.ravel() >> np.uint64(42)])
+            # Some 30 places a key, so that few are asked for in vain, within the cache.
+            bits = min(max((32 * len(self.keys)).bit_length(), 16), 24)
+            self.filter, self.shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+            self.filter[self.keys >> self.shift] = True
+        maybe = np.flatnonzero(self.filter[keys.ravel() >> self.shift])
         wanted = keys.ravel()[maybe]
         low = np.searchsorted(self.keys, wanted, "left")
         n = np.searchsorted(self.keys, wanted, "right") - low
