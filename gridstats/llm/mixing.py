@@ -1,8 +1,9 @@
 """Mix sources to target weights by Sainte-Lague apportionment of token blocks.
 
-Documents are dealt into shards by a seeded hash. In a shard, the words of a
-source in seeded order form one stream, cut into blocks of equal token counts.
-Each shard apportions its blocks to its sources by highest quotients
+Documents are dealt into shards by a seeded hash, those of a small source into few of
+them, so that its streams are long enough to be cut. In a shard, the words of a
+source in seeded order form one stream; all streams of a shard are cut into blocks
+of the same number of tokens. Each shard apportions blocks to sources by highest quotients
 x / (2k + 1), where x is the source's target in blocks. A source's quota of q
 blocks out of n takes every block q div n times and (q mod n) blocks, spread
 evenly from a seeded start, once more. What a document gives is a closed form of
@@ -12,56 +13,79 @@ one shard's share of a source together.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridstats.llm.shared import broadcast_if_small, text_of, words_of
+from gridstats.llm.shared import (
+    apart, as_one, broadcast_if_small, quoted, stored, text_of, words_of)
 
 WEIGHTS = (3, 1, 2)        # of sources in code point order, repeating
 SHARE_PERCENT = 150        # of all words that the mix holds
 CAP = 2                    # times its size that a source may give
 BLOCK_TOKENS = 512
-LEAST_BLOCKS = 256         # smaller streams get smaller blocks, to stay near targets
-SHARD_WORDS = 5_000_000    # bounds the rows that are ordered together
-MAX_SOURCES = 100_000      # sources are categories; the table of them is ordered as one
+# Of the shortest stream of a shard: where it has fewer, all blocks of the shard are
+# smaller. A source is off its target by half a block in a stream at most.
+LEAST_BLOCKS = 256
+SHARD_WORDS = 1_000_000    # words and rows of a shard, which bound what is ordered
+SHARD_ROWS = 4_000         # together
+SALTS = 256                # groups in which the rows of a repeated document are numbered
 
 
 def word_count(text: str = "text") -> Column:
     return F.size(words_of(text_of(text))).cast("long")
 
 
+def _ranked(totals: DataFrame) -> DataFrame:
+    """``_rank``: the place of a source in code point order, NULL last, from 1.
+
+    Sources are ordered range by range, so that there may be any number of them."""
+    order = [F.col("_source").isNull(), F.col("_source")]
+    ranges = stored(totals.repartitionByRange(*order).withColumn(
+        "_part", F.spark_partition_id()), "mix-sources")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranges.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranges.withColumn("_rank", within).join(broadcast_if_small(parts), "_part").select(
+        *totals.columns, (F.col("_rank") + F.col("_before")).alias("_rank"))
+
+
 def source_targets(sized: DataFrame, *, source: str = "source", size: str = "size",
                    weights=WEIGHTS) -> DataFrame:
-    """Per source: rank in code point order (NULL last), size and target words.
+    """Per source: rank in code point order (NULL last), rows, size and target words.
 
     Sources share the mix by weight; where a target would pass ``CAP`` times the
-    size it stops there and the excess goes to the others by weight. With the
-    sources ordered by size per weight, those that stop come first, and a source
-    stops if it would with all before it stopped.
+    size it stops there and the excess goes to the others by weight. Who stops is
+    found in rounds: what is left for a weight only grows when others stop. All of it
+    is in hundredths of a word and in whole numbers.
     """
-    totals = sized.groupBy(F.col(source).alias("_source")).agg(
-        F.sum(size).alias("_source_size"))
-    everything = Window.partitionBy()
-    ranked = totals.select(
-        "*", F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last()))
-        .alias("_rank"), F.sum("_source_size").over(everything).alias("_total"))
-    ranked = ranked.withColumn("_weight", F.get(
-        F.array(*map(F.lit, weights)), (F.col("_rank") - 1) % len(weights)))
-    by_fill = Window.orderBy(F.col("_source_size") / F.col("_weight"), "_rank")
-    before = by_fill.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = by_fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # All in hundredths of a word, so that both sides of the test are whole numbers.
-    left = (SHARE_PERCENT * F.col("_total")
-            - 100 * CAP * (F.sum("_source_size").over(before) - F.col("_source_size")))
-    stops = (100 * CAP * F.col("_source_size") * F.sum("_weight").over(after)
-             <= left * F.col("_weight"))
-    filled = ranked.withColumn("_stops", stops)
-    shared = (SHARE_PERCENT * F.col("_total") - 100 * CAP * F.sum(
-        F.when(F.col("_stops"), F.col("_source_size")).otherwise(0)).over(everything))
-    open_weight = F.sum(F.when(F.col("_stops"), 0).otherwise(F.col("_weight"))).over(everything)
-    return filled.select("_source", "_rank", "_source_size", "_total", F.when(
-        F.col("_stops"), (CAP * F.col("_source_size")).cast("double")).otherwise(
-        F.col("_weight") * shared / (100.0 * F.greatest(open_weight, F.lit(1)))).alias("_target"))
+    totals = sized.groupBy(quoted(source).alias("_source")).agg(
+        F.sum(quoted(size)).alias("_source_size"), F.count("*").alias("_source_rows"))
+    ranked = _ranked(totals).withColumn("_weight", F.get(
+        F.array(*map(F.lit, weights)), ((F.col("_rank") - 1) % len(weights)).cast("int")))
+    ranked = stored(ranked, "mix-ranks")
+    total = ranked.agg(F.sum("_source_size")).first()[0] or 0
+    wide = "decimal(38,0)"
+    left, open_weight, known = SHARE_PERCENT * total, None, -1
+    stops = F.lit(False)
+    while True:
+        state = ranked.agg(
+            F.count_if(stops).alias("n"),
+            F.sum(F.when(stops, F.col("_source_size"))).alias("given"),
+            F.sum(F.when(~stops, F.col("_weight"))).alias("open")).first()
+        left = SHARE_PERCENT * total - 100 * CAP * (state["given"] or 0)
+        open_weight = state["open"] or 0
+        if state["n"] == known or not open_weight:
+            break
+        known = state["n"]
+        stops = (F.col("_source_size").cast(wide) * F.lit(100 * CAP * open_weight).cast(wide)
+                 <= F.col("_weight") * F.lit(left).cast(wide))
+    target = F.when(stops, (CAP * F.col("_source_size")).cast("double")).otherwise(
+        F.col("_weight") * F.lit(float(left)) / F.lit(100.0 * max(open_weight, 1)))
+    return ranked.select("_source", "_rank", "_source_rows", "_source_size",
+                         F.lit(total).alias("_total"), target.alias("_target"))
 
 
 def _number(*parts) -> Column:
@@ -104,46 +128,95 @@ def _quotas(cells: DataFrame) -> DataFrame:
         F.col("_given") + more.cast("long"), CAP * F.col("_blocks")).alias("_quota"))
 
 
+def _numbered(rows: DataFrame, identity: list[str], over: int) -> DataFrame:
+    """``_copy``: 0, or for rows that more than ``over`` share their identity a number
+    from 0 to n - 1. Such rows are interchangeable, so it does not matter which gets
+    which; they are numbered in salted groups."""
+    many = stored(rows.groupBy(*identity).agg(F.count("*").alias("_n"))
+                  .where(F.col("_n") > over).select(*identity), "mix-repeats")
+    if many.isEmpty():
+        return rows.withColumn("_copy", F.lit(0).cast("long"))
+    marked = [F.col(c).alias(f"_same{i}") for i, c in enumerate(identity)]
+    many = broadcast_if_small(many.select(*marked))
+    same = reduce(lambda a, b: a & b, [
+        F.col(c).eqNullSafe(F.col(f"_same{i}")) for i, c in enumerate(identity)])
+    rest = rows.join(many, same, "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    mine = stored(rows.join(many, same, "left_semi").withColumn(
+        "_id", F.monotonically_increasing_id()), "mix-repeated-rows")
+    mine = mine.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)))
+    before = Window.partitionBy(*identity).orderBy("_salt").rowsBetween(
+        Window.unboundedPreceding, -1)
+    counts = stored(mine.groupBy(*identity, "_salt").agg(F.count("*").alias("_n")).select(
+        F.xxhash64(*identity).alias("_of"), F.col("_salt").alias("_in_salt"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "mix-copies")
+    place = F.row_number().over(Window.partitionBy(*identity, "_salt").orderBy("_id")) - 1
+    numbered = mine.withColumn("_place", place).withColumn("_is", F.xxhash64(*identity)).join(
+        broadcast_if_small(counts), (F.col("_is") == F.col("_of"))
+        & (F.col("_salt") == F.col("_in_salt")))
+    return rest.unionByName(numbered.select(
+        *rows.columns, (F.col("_place") + F.col("_before")).alias("_copy")))
+
+
 def with_mix(sized: DataFrame, *, size: str = "size", source: str = "source",
              key: str = "doc_id", tie_break: tuple[Column, ...] = (), seed: int = 0,
              block_tokens: int = BLOCK_TOKENS, shard_words: int = SHARD_WORDS,
-             into: str = "mix") -> DataFrame:
+             shard_rows: int = SHARD_ROWS, into: str = "mix") -> DataFrame:
     """All rows and columns, and a struct column ``into`` (replacing one of that
     name): ``source_size``, ``target``, ``taken`` words, ``whole`` (times the whole
     document is taken) and ``parts`` (word ranges taken once more, as structs of
     first word and length).
 
-    A NULL source is a source of its own, last in order; a NULL or repeated key
-    is ordered as one value, then by ``tie_break``. Rows of size 0 take nothing.
-    An empty table stays empty.
+    A NULL source is a source of its own, last in order. Rows of one key, NULL too, are
+    told apart by size and ``tie_break``, and by number where more than ``shard_rows``
+    agree in all. Rows of size 0 take nothing. An empty table stays empty. Columns of
+    any name are carried as they are. There may be any number of sources.
     """
+    kept = [c for c in sized.columns if c != into]
     targets = source_targets(sized, source=source, size=size)
-    if targets.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows = sized.drop(into).join(broadcast_if_small(targets), F.col(source).eqNullSafe(
-        F.col("_source"))).drop("_source")
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    shards = F.greatest(F.lit(1), F.ceil(F.col("_total") / shard_words))
+    n_rows = sized.count()
+    ties = [F.col(f"_tie{i}") for i in range(len(tie_break))]
+    rows = sized.select(
+        as_one(kept), quoted(size).cast("long").alias("_size"),
+        quoted(source).alias("_of_source"), quoted(key).alias("_key"),
+        *[t.alias(f"_tie{i}") for i, t in enumerate(tie_break)])
+    rows = _numbered(rows, ["_of_source", "_key", "_size",
+                            *[f"_tie{i}" for i in range(len(tie_break))]], shard_rows)
+    rows = rows.join(broadcast_if_small(targets), F.col("_of_source").eqNullSafe(
+        F.col("_source"))).drop("_source", "_of_source")
+    size, key = "_size", "_key"
+    name = F.concat_ws("/", F.coalesce(F.col("_key").cast("string"), F.lit("null")), F.col("_size"),
+                       *[F.coalesce(t.cast("string"), F.lit("null")) for t in ties], "_copy")
+    total = F.col("_total")
+    shards = F.greatest(F.lit(1), F.ceil(total / shard_words), F.lit(-(-n_rows // shard_rows)))
+    # A source is dealt to as many neighbouring shards as its streams stay long in.
+    mine = F.greatest(F.lit(1), F.least(shards, F.greatest(
+        F.floor(F.col("_source_size") / (LEAST_BLOCKS * block_tokens)),
+        F.ceil(F.col("_source_rows") / shard_rows))))
+    first = _number(F.lit(seed), F.lit("source"), F.col("_rank"))
     rows = rows.withColumns({
-        "_shard": F.pmod(_number(F.lit(seed), name), shards),
+        "_shard": F.pmod(first + F.pmod(_number(F.lit(seed), name), mine), shards),
         "_order": F.md5(F.concat_ws("/", F.lit(seed), F.lit("order"), name))})
     words = F.col("_words")
     cells = rows.groupBy("_shard", "_rank").agg(
         F.sum(size).alias("_words"), F.first("_target").alias("_target"),
         F.first("_source_size").alias("_source_size"))
-    block = F.greatest(F.lit(1), F.least(F.lit(block_tokens), F.floor(words / LEAST_BLOCKS)))
+    shortest = F.min(F.when(words > 0, words)).over(Window.partitionBy("_shard"))
+    block = F.greatest(F.lit(1), F.least(
+        F.lit(block_tokens), F.coalesce(F.floor(shortest / LEAST_BLOCKS), F.lit(1))))
     cells = cells.withColumn("_block", block).withColumns({
         "_blocks": F.ceil(words / F.col("_block")),
         "_ideal": F.when(words > 0, F.col("_target") * words / (
             F.col("_source_size") * F.col("_block"))).otherwise(0.0)})
+    cells = stored(cells, "mix-cells")
     cells = (cells.select("_shard", "_rank", "_block", "_blocks")
              .join(_quotas(cells), ["_shard", "_rank"]).withColumn(
         "_from", F.pmod(_number(F.lit(seed), F.lit("from"), F.col("_shard"), F.col("_rank")),
                         F.greatest(F.col("_blocks"), F.lit(1)))))
-    rows = rows.join(cells, ["_shard", "_rank"])
+    rows = rows.join(broadcast_if_small(stored(cells, "mix-quotas")), ["_shard", "_rank"])
 
     stream = Window.partitionBy("_shard", "_rank").orderBy(
-        "_order", key, *tie_break).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        "_order", key, *ties, "_copy").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_end", F.sum(size).over(stream))
     blocks = F.greatest(F.col("_blocks"), F.lit(1))
     whole = F.floor(F.col("_quota") / blocks)
@@ -175,28 +248,31 @@ def with_mix(sized: DataFrame, *, size: str = "size", source: str = "source",
         F.col("_whole").alias("whole"),
         F.when(F.col(size) > 0, F.transform(inside, part)).otherwise(F.array()).alias("parts"))
     mix = mix.withField("source_size", F.col("_source_size")).dropFields("_source_size")
-    kept = [c for c in sized.columns if c != into]
-    return rows.select(*kept, mix.alias(into))
+    return rows.select("_in", mix.alias("_out")).select(*apart(kept), F.col("_out").alias(into))
 
 
 def mixed_documents(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
                     source: str = "source", chars: str = "n_chars", **options) -> DataFrame:
-    """The documents of the mix: one row per whole copy taken, and one row with
-    the parts taken once more, white space as in the original."""
+    """The documents of the mix, columns as they came: one row per whole copy taken,
+    and one row with the parts taken once more, white space as in the original.
+
+    Documents without words have nothing to take and are left out, NULL texts too.
+    Repeated rows are documents each; texts of any length are cut whole."""
     names = docs.columns
-    sized = docs.withColumn("_size", word_count(text))
-    mixed = with_mix(sized, size="_size", source=source, key=key,
-                     tie_break=(F.xxhash64(text),), into="_mix", **options)
-    mix = F.col("_mix")
-    pieces = F.regexp_extract_all(text_of(text), F.lit(
+    sized = docs.select(as_one(names, "row"), word_count(text).alias("size"),
+                        quoted(source).alias("source"), quoted(key).alias("doc_id"))
+    mixed = with_mix(sized, tie_break=(F.xxhash64(F.col("row")[text]),), **options)
+    mix, original = F.col("mix"), F.col("row")[text]
+    pieces = F.regexp_extract_all(F.coalesce(original, F.lit("")), F.lit(
         "([^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*)"), 1)
     excerpt = F.when(F.size(mix["parts"]) > 0, F.array(F.array_join(F.flatten(F.transform(
         mix["parts"], lambda p: F.slice(pieces, (p["first"] + 1).cast("int"),
                                         p["length"].cast("int")))), ""))) \
         .otherwise(F.array().cast("array<string>"))
-    texts = F.concat(F.array_repeat(F.col(text), mix["whole"].cast("int")), excerpt)
-    out = mixed.withColumn("_out", F.explode(texts))
-    new = {text: F.col("_out")}
+    copies = F.when(F.col("size") > 0, mix["whole"]).otherwise(0).cast("int")
+    out = mixed.select("row", F.explode(F.concat(
+        F.array_repeat(original, copies), excerpt)).alias("out"))
+    new = {text: F.col("out")}
     if chars in names:
-        new[chars] = F.char_length("_out").cast("long")
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in names])
+        new[chars] = F.char_length("out").cast("long")
+    return out.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in names])

@@ -12,7 +12,7 @@ from gridstats.llm.mixing import with_mix, word_count
 from gridstats.llm.oracle import ORACLE
 from gridstats.llm.pii import with_personal_data
 from gridstats.llm.quality import with_quality
-from gridstats.llm.sharding import sized_keys, with_shards
+from gridstats.llm.sharding import with_shards
 from gridstats.llm.shared import stored, text_of
 from gridstats.llm.simhash import fingerprints, near_duplicates
 from gridstats.llm.tokencount import token_counts
@@ -82,8 +82,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    keyed = stored(sized_keys(docs).select("doc_id", "_shard"), "shard-keys")
-    placed = with_shards(docs.select("doc_id"), keyed=keyed)
+    placed = with_shards(docs, keep=["doc_id"])
     return placed.select(
         "doc_id", "shard.size", "shard.text_crc32", F.lit("bytes").alias("law"),
         "shard.shard", "shard.slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridstats.llm.shared import broadcast_if_small, stored, text_of
+from gridstats.llm.shared import apart, as_one, broadcast_if_small, quoted, stored, text_of
 
 SHARDS = 16
 RANGES = 1024              # fine ranges that the splitters bound
@@ -28,13 +28,16 @@ def _hash(value: Column) -> Column:
     return F.conv(F.substring(F.md5(value), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
-def sized_keys(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All rows with a struct column ``_shard``: size, CRC-32, the two hashes."""
+def sized_keys(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
+               keep: list[str] | None = None) -> DataFrame:
+    """The columns to ``keep`` as one struct ``_in``, and ``_shard``: size, CRC-32, the
+    hashes of text and key, and the key."""
     value = text_of(text)
-    return docs.withColumn("_shard", F.struct(
+    return docs.select(as_one(docs.columns if keep is None else keep), F.struct(
         (F.octet_length(value) + 1).cast("long").alias("size"),
         F.crc32(F.encode(value, "UTF-8")).alias("crc"), _hash(value).alias("group"),
-        _hash(F.coalesce(F.col(key).cast("string"), F.lit("null"))).alias("within")))
+        _hash(F.coalesce(quoted(key).cast("string"), F.lit("null"))).alias("within"),
+        quoted(key).alias("key")).alias("_shard"))
 
 
 def _splitters(keyed: DataFrame, total: int, ranges: int) -> DataFrame:
@@ -93,20 +96,21 @@ def _numbered(keyed: DataFrame, total: int, rows: int, ranges: int) -> DataFrame
 
 
 def with_shards(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
-                shards: int = SHARDS, ranges: int = RANGES, keyed: DataFrame | None = None,
+                shards: int = SHARDS, ranges: int = RANGES, keep: list[str] | None = None,
                 into: str = "shard") -> DataFrame:
-    """All rows and columns, and a struct column ``into`` (replacing one of that
-    name): ``size``, ``text_crc32``, ``shard`` and ``slot``.
+    """All rows and columns, or those to ``keep``, and a struct column ``into``
+    (replacing one of that name): ``size``, ``text_crc32``, ``shard`` and ``slot``.
 
     Shards differ in bytes by about one fine range, unless a single record is
     larger. Slots run from 0 in every shard without gaps, in the order of the
     ranges; ranges are numbered side by side, so no task orders a whole shard.
     A NULL text has no bytes, a NULL key is a key like others; identical rows are
-    interchangeable. An empty table stays empty.
+    interchangeable. An empty table stays empty. Texts are read once, to be stored with
+    their sizes and hashes, and once more if they are kept. Columns of any name are
+    carried as they are.
     """
-    names = [c for c in docs.columns if c != into]
-    if keyed is None:
-        keyed = sized_keys(docs.drop(into), text=text, key=key)
+    names = [c for c in (docs.columns if keep is None else keep) if c != into]
+    keyed = stored(sized_keys(docs, text=text, key=key, keep=names), "shard-keys")
     s = F.col("_shard")
     total, rows = keyed.agg(F.coalesce(F.sum(s["size"]), F.lit(0)), F.count("*")).first()
     keyed = _numbered(keyed, total, rows, ranges)
@@ -148,9 +152,10 @@ def with_shards(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     cells = stored(cells.select("_range", "_piece", "_to", offset.alias("_offset")),
                    "shard-ranges")
     place = F.row_number().over(Window.partitionBy("_range", "_piece").orderBy(
-        s["group"], s["within"], F.col(key)))
+        s["group"], s["within"], s["key"]))
     out = ranged.withColumn("_place", place).join(
         broadcast_if_small(cells), ["_range", "_piece"])
-    return out.select(*names, F.struct(
+    return out.select("_in", F.struct(
         s["size"].alias("size"), s["crc"].alias("text_crc32"), F.col("_to").alias("shard"),
-        (F.col("_offset") + F.col("_place") - 1).alias("slot")).alias(into))
+        (F.col("_offset") + F.col("_place") - 1).alias("slot")).alias("_out")).select(
+        *apart(names), F.col("_out").alias(into))

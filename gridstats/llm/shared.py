@@ -24,6 +24,19 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_one(names: list[str], into: str = "_in") -> Column:
+    """The columns as one struct, so that none of them meets a helper of its name."""
+    return F.struct(*map(quoted, names)).alias(into)
+
+
+def apart(names: list[str], packed: str = "_in") -> list[Column]:
+    return [F.col(packed)[c].alias(c) for c in names]
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANKS), "")
 

@@ -18,7 +18,6 @@ links, so copies and near copies never multiply.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -27,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from gridstats.llm.shared import broadcast_if_small, ship_package, stored, text_of
+from gridstats.llm.shared import (
+    apart, as_one, broadcast_if_small, quoted, ship_package, stored, text_of)
 
 SHINGLE = 3
 DISTANCE = 3
@@ -284,8 +284,8 @@ def keep_one(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     least key (NULL last), among rows of that key the least text; of identical
     rows one stays. An empty table stays empty."""
     names = docs.columns
-    row = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"),
-                   F.xxhash64(text, *[c for c in names if c != text]).alias("h"))
+    row = F.struct(quoted(key).isNull().alias("n"), quoted(key).alias("k"), F.xxhash64(
+        quoted(text), *[quoted(c) for c in names if c != text]).alias("h"))
     prints = stored(docs.select(row.alias("_row"), fingerprints(
         text_of(text), shingle).alias("fp")), "prints")
     codes = stored(prints.groupBy("fp").agg(F.min("_row").alias("least")), "fingerprints")
@@ -294,13 +294,12 @@ def keep_one(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
         F.coalesce("root", "fp").alias("root"), "least")
     winners = stored(member.groupBy("root").agg(F.min("least").alias("least"))
                      .select("least.*"), "kept")
-    marked = docs.withColumn("_row", row)
-    conditions = [marked["_row"]["n"] == winners["n"],
-                  marked["_row"]["k"].eqNullSafe(winners["k"]),
-                  marked["_row"]["h"] == winners["h"]]
-    kept = marked.join(broadcast_if_small(winners), reduce(
-        lambda a, b: a & b, conditions), "left_semi")
+    marked = docs.select(as_one(names), row.alias("_row"))
+    winners = winners.select(F.col("n").alias("_n"), F.col("k").alias("_k"), F.col("h").alias("_h"))
+    same = ((F.col("_row.n") == F.col("_n")) & F.col("_row.k").eqNullSafe(F.col("_k"))
+            & (F.col("_row.h") == F.col("_h")))
+    kept = marked.join(broadcast_if_small(winners), same, "left_semi")
     # Identical rows have the same key and hash; where there are any, one stays.
     if not prints.groupBy("_row").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["_row"])
-    return kept.select(*names)
+    return kept.select(*apart(names))
