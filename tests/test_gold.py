@@ -20,19 +20,20 @@ PLAY_DDL = (
     " qb_dropback int, receiver_player_name string, is_redzone int")
 
 PLAY = dict(
-    game_id="2025_01_NE_BUF", season=2025, week=1, season_type="REG", home_team="NE",
-    away_team="BUF", opponent_team="BUF", pass_attempt=1, complete_pass=1,
-    passing_yards=10, pass_touchdown=0, interception=0, rushing_yards=30,
-    rush_touchdown=0, rush_attempt=5, sack=0, fumble=0, fumble_lost=0, fumble_forced=0,
-    fumble_not_forced=0, air_yards=180, epa=0.25, cpoe=5.2)
+    game_id="2031_04_ELK_OWL", season=2031, week=4, season_type="REG", home_team="OWL",
+    away_team="ELK", opponent_team="ELK", pass_attempt=1, complete_pass=1,
+    passing_yards=14, pass_touchdown=0, interception=0, rushing_yards=11,
+    rush_touchdown=0, rush_attempt=2, sack=0, fumble=0, fumble_lost=0, fumble_forced=0,
+    fumble_not_forced=0, air_yards=9, epa=0.75, cpoe=-1.5)
 
 SPLIT_PLAY = dict(
-    game_id="2025_01_NE_BUF", pass_attempt=1, pass_length="short", pass_location="right",
-    passing_yards=10, rush_attempt=0, rushing_yards=0, rush_touchdown=0, complete_pass=1,
-    air_yards=8, yards_after_catch=4.0, pass_touchdown=0, interception=0, epa=0.5,
-    cpoe=5.2, sack=0, fumble=0, score_diff=0, down=1, quarter=1, home_team="NE",
-    opponent_team="BUF", week=1, yards_gained=10, qb_hit=0, qb_scramble=0, qb_dropback=1,
-    receiver_player_name="R.Hands", is_redzone=0)
+    game_id="2031_04_ELK_OWL", week=4, home_team="OWL", opponent_team="ELK",
+    down=1, quarter=1, score_diff=0, is_redzone=0,
+    pass_attempt=1, complete_pass=1, passing_yards=12, pass_touchdown=0, interception=0,
+    pass_length="short", pass_location="left", air_yards=7, yards_after_catch=5.0,
+    yards_gained=12, receiver_player_name="R.Rook", epa=0.4, cpoe=-1.5,
+    rush_attempt=0, rushing_yards=0, rush_touchdown=0,
+    sack=0, fumble=0, qb_hit=0, qb_scramble=0, qb_dropback=1)
 
 
 @pytest.fixture
@@ -54,25 +55,25 @@ def one(frame):
 # --- game-by-game performance ----------------------------------------------------
 
 def test_single_play_game(plays):
-    got = one(qb_performance(plays(PLAY, {}), team="NE", player="A.Able"))
+    got = one(qb_performance(plays(PLAY, {}), team="OWL", player="A.Able"))
     assert list(got.asDict()) == list(OUTPUT) and len(OUTPUT) == 30
-    assert got["passer_rating"] == 108.3
+    assert got["passer_rating"] == 118.8
     assert got["completion_pct"] == 100.0
-    assert got["yards_per_attempt"] == 10.0
-    assert got["total_yards"] == 40
-    assert (got["home_or_away"], got["team"], got["player_name"]) == ("Home", "NE", "A.Able")
+    assert got["yards_per_attempt"] == 14.0
+    assert got["total_yards"] == 25
+    assert (got["home_or_away"], got["team"], got["player_name"]) == ("Home", "OWL", "A.Able")
 
 
 def test_sack_is_not_an_attempt(plays):
     got = one(qb_performance(plays(
-        PLAY, {}, dict(sack=1, complete_pass=0, passing_yards=0, epa=-1.5)), team="NE"))
-    assert (got["pass_attempt"], got["passing_yards"], got["sack"]) == (1, 10, 1)
-    assert got["rushing_yards"] == 60
-    assert (got["epa"], got["cpoe"]) == (-0.62, 5.2)
+        PLAY, {}, dict(sack=1, complete_pass=0, passing_yards=0, epa=-1.5)), team="OWL"))
+    assert (got["pass_attempt"], got["passing_yards"], got["sack"]) == (1, 14, 1)
+    assert got["rushing_yards"] == 22
+    assert (got["epa"], got["cpoe"]) == (-0.38, -1.5)
 
 
 def test_no_official_attempt_leaves_nan(plays):
-    got = one(qb_performance(plays(PLAY, dict(fumble=1)), team="NE"))
+    got = one(qb_performance(plays(PLAY, dict(fumble=1)), team="OWL"))
     assert (got["pass_attempt"], got["complete_pass"]) == (0, 0)
     assert all(math.isnan(got[c]) for c in
                ("completion_pct", "yards_per_attempt", "passer_rating"))
@@ -80,41 +81,41 @@ def test_no_official_attempt_leaves_nan(plays):
 
 def test_sums_of_nothing_are_zero_and_means_are_null(plays):
     got = one(qb_performance(plays(
-        PLAY, dict(rushing_yards=None, epa=None, passing_yards=None)), team="NE"))
+        PLAY, dict(rushing_yards=None, epa=None, passing_yards=None)), team="OWL"))
     assert (got["rushing_yards"], got["passing_yards"], got["total_yards"]) == (0, 0, 0)
     assert got["epa"] is None
 
 
 def test_differing_context_still_gives_one_row_per_game(plays):
     got = one(qb_performance(plays(
-        PLAY, dict(epa=1.0), dict(home_team="BUF", epa=0.0), dict(home_team="BUF", epa=0.0)),
-        team="NE"))
-    assert (got["home_team"], got["epa"], got["rushing_yards"]) == ("BUF", 0.33, 90)
+        PLAY, dict(epa=1.0), dict(home_team="ELK", epa=0.0), dict(home_team="ELK", epa=0.0)),
+        team="OWL"))
+    assert (got["home_team"], got["epa"], got["rushing_yards"]) == ("ELK", 0.33, 33)
 
 
 def test_players_are_kept_apart(plays):
     frame = plays(PLAY, dict(player_name="A.Able"), dict(player_name="B.Baker"),
                   dict(player_name="B.Baker"))
     got = {r["player_name"]: r["rushing_yards"]
-           for r in qb_performance(frame, team="NE").collect()}
-    assert got == {"A.Able": 30, "B.Baker": 60}
+           for r in qb_performance(frame, team="OWL").collect()}
+    assert got == {"A.Able": 11, "B.Baker": 22}
 
 
 def test_team_can_depend_on_the_game(plays):
     from pyspark.sql import functions as F
     own = F.when(F.col("opponent_team") == F.col("home_team"), F.col("away_team")) \
         .otherwise(F.col("home_team"))
-    frame = plays(PLAY, dict(home_team="MIA", away_team="BUF", opponent_team="MIA"))
+    frame = plays(PLAY, dict(home_team="FOX", away_team="ELK", opponent_team="FOX"))
     got = one(qb_performance(frame, team=own))
-    assert (got["team"], got["home_or_away"]) == ("BUF", "Away")
+    assert (got["team"], got["home_or_away"]) == ("ELK", "Away")
 
 
 # --- split tables ------------------------------------------------------------------
 
 def test_efficiency_by_style(plays):
     frame = plays(SPLIT_PLAY,
-                  dict(air_yards=10, yards_after_catch=5.0, epa=1.0, cpoe=10.0),
-                  dict(air_yards=6, yards_after_catch=3.0, epa=0.0, cpoe=0.0),
+                  dict(air_yards=9, yards_after_catch=2.0, epa=0.9, cpoe=4.0),
+                  dict(air_yards=5, yards_after_catch=6.0, epa=0.1, cpoe=0.0),
                   dict(pass_length="deep", pass_location="middle", air_yards=30,
                        yards_after_catch=0.0))
     got = {r["pass_length"]: r for r in build("efficiency_profile", frame).collect()}
@@ -122,18 +123,18 @@ def test_efficiency_by_style(plays):
                "cpoe", "completion_pct", "air_yards_per_attempt", "yac_per_reception",
                "n_plays")
     assert tuple(got["short"][c] for c in columns) == (
-        2, 2, 16, 8.0, 0.5, 5.0, 100.0, 8.0, 4.0, 2)
+        2, 2, 14, 8.0, 0.5, 2.0, 100.0, 7.0, 4.0, 2)
     assert tuple(got["deep"][c] for c in columns) == (
-        1, 1, 30, 0.0, 0.5, 5.2, 100.0, 30.0, 0.0, 1)
+        1, 1, 30, 0.0, 0.4, -1.5, 100.0, 30.0, 0.0, 1)
     assert "player_name" not in build("efficiency_profile", frame).columns
 
 
 def test_efficiency_zero_division(plays):
     got = one(build("efficiency_profile", plays(
-        SPLIT_PLAY, dict(complete_pass=0, air_yards=15, yards_after_catch=0.0))))
+        SPLIT_PLAY, dict(complete_pass=0, air_yards=13, yards_after_catch=0.0))))
     assert got["yac_per_reception"] == 0.0
     assert got["completion_pct"] == 0.0
-    assert got["air_yards_per_attempt"] == 15.0
+    assert got["air_yards_per_attempt"] == 13.0
 
 
 def test_rate_over_no_attempts_stays_infinite(plays):
@@ -145,12 +146,12 @@ def test_rate_over_no_attempts_stays_infinite(plays):
 def test_efficiency_drops_unknown_length_but_keeps_unknown_location(plays):
     frame = plays(SPLIT_PLAY, {}, dict(pass_length=None), dict(pass_location=None))
     got = build("efficiency_profile", frame).collect()
-    assert {r["pass_location"] for r in got} == {"right", None}
+    assert {r["pass_location"] for r in got} == {"left", None}
 
 
 def test_every_score_bucket_appears(plays):
     frame = plays(SPLIT_PLAY, *[dict(score_diff=d) for d in (-20, -7, 0, 7, 21)])
-    got = build("situational_splits", frame, team="NE", player="A.Able")
+    got = build("situational_splits", frame, team="OWL", player="A.Able")
     assert {r["score_bucket"] for r in got.collect()} == {
         "Losing big", "Losing", "Tied", "Winning", "Winning big"}
     assert got.columns == [
@@ -167,8 +168,8 @@ def test_situational_splits_need_a_team(plays):
 
 def test_situational_passing_yards_are_official_only(plays):
     frame = plays(SPLIT_PLAY, dict(rushing_yards=6, rush_attempt=4), dict(fumble=1))
-    got = one(build("situational_splits", frame, team="NE"))
-    assert (got["passing_yards"], got["complete_pass"], got["completion_pct"]) == (10, 2, 200.0)
+    got = one(build("situational_splits", frame, team="OWL"))
+    assert (got["passing_yards"], got["complete_pass"], got["completion_pct"]) == (12, 2, 200.0)
     assert got["yards_per_carry"] == 1.5
 
 
@@ -181,9 +182,9 @@ def test_pressure_overview(plays):
     assert set(got) == {"hit", "scramble"}
     hit = got["hit"]
     assert (hit["n_plays"], hit["pass_attempt"], hit["complete_pass"], hit["passing_yards"]) \
-        == (2, 1, 2, 20)
+        == (2, 1, 2, 24)
     assert (hit["completion_pct"], hit["yards_per_attempt"], hit["air_yards_per_attempt"]) \
-        == (200.0, 20.0, 16.0)
+        == (200.0, 24.0, 14.0)
     assert (hit["sack"], hit["qb_scramble"], hit["total_dropbacks"]) == (1, 1, 2)
     assert got["scramble"]["yards_per_carry"] == 7.0
     assert got["scramble"]["completion_pct"] == 0.0
@@ -196,13 +197,13 @@ def test_pressure_tables_group_by_their_keys(plays):
                   for r in build("pressure_by_quarter", frame).collect()}
     assert by_down == {1: 1, 2: 2} and by_quarter == {1: 1, 3: 2}
     opponent = one(build("pressure_by_opponent", frame))
-    assert (opponent["opponent_team"], opponent["week"], opponent["n_plays"]) == ("BUF", 1, 3)
+    assert (opponent["opponent_team"], opponent["week"], opponent["n_plays"]) == ("ELK", 2, 3)
 
 
 def test_pressure_air_yards_looks_at_passes(plays):
     frame = plays(SPLIT_PLAY, dict(air_yards=4), dict(air_yards=9), dict(pass_attempt=0))
     got = one(build("pressure_air_yards", frame))
-    assert (got["avg_air_yards"], got["avg_yac"], got["n_plays"]) == (6.5, 4.0, 2)
+    assert (got["avg_air_yards"], got["avg_yac"], got["n_plays"]) == (6.5, 5.0, 2)
 
 
 def test_receiver_tables(plays):
@@ -212,7 +213,7 @@ def test_receiver_tables(plays):
     overview = one(build("receiver_overview", frame))
     assert (overview["n_targets"], overview["completion_pct"]) == (2, 50.0)
     assert (overview["air_yards_per_target"], overview["yac_per_reception"],
-            overview["yards_per_reception"]) == (8.0, 4.0, 10.0)
+            overview["yards_per_reception"]) == (7.0, 5.0, 12.0)
     assert {r["down"]: r["n_targets"]
             for r in build("receiver_by_down", frame).collect()} == {1: 1, 3: 1}
     assert {r["score_bucket"] for r in build("receiver_by_situation", frame).collect()} \
@@ -244,8 +245,8 @@ def test_every_split_table_of_one_player_equals_that_players_rows(plays, name):
         kept = [c for c in sorted(frame.columns) if c not in ("gold_loaded_at", "player_name")]
         return sorted(map(tuple, frame.select(*kept).collect()))
 
-    ours = build(name, several, team="NE").where("player_name = 'A.Able'")
-    assert values(ours) == values(build(name, single, team="NE", player="A.Able"))
+    ours = build(name, several, team="OWL").where("player_name = 'A.Able'")
+    assert values(ours) == values(build(name, single, team="OWL", player="A.Able"))
 
 
 def test_presentation_order(plays):
@@ -298,7 +299,7 @@ def games(plays):
     frame = plays(PLAY, *[
         dict(player_name=p, week=w, game_id=f"g{w}", season=s, passing_yards=10 * w)
         for p in ("A.Able", "B.Baker") for s in (2024, 2025) for w in range(1, 7)])
-    return qb_performance(frame, team="NE")
+    return qb_performance(frame, team="OWL")
 
 
 def test_momentum_and_progression_restart_every_season(games):
@@ -320,7 +321,7 @@ def test_seasons_do_not_leak_into_each_other(plays):
     frame = plays(PLAY, *[
         dict(player_name="A.Able", week=w, season=s, game_id=f"{s}_{w}", rushing_yards=w)
         for s in (2024, 2025) for w in range(1, 7)])
-    games = qb_performance(frame, team="NE")
+    games = qb_performance(frame, team="OWL")
     rolled = {(r["season"], r["week"]): r["rushing_yards_rolling4"]
               for r in game_momentum(games).collect()}
     assert rolled[(2025, 1)] == 1.0 and rolled[(2025, 6)] == 4.5
