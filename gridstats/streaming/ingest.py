@@ -11,6 +11,9 @@ state grows with the number of plays and belongs into the RocksDB state store
 
 The sink keeps its own commit log. Give it a directory of its own and do not
 append to that by ``run_bronze`` as well.
+
+``ingest_runs`` instead hands every lot of new files to a bronze run. It keeps no
+state of plays: recorded ones are found in bronze, which may be fed by other runs, too.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridstats import schema as S
 from gridstats.operators import bronze as B
+from gridstats.plans.runs import BronzeReport, run_bronze
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -74,3 +78,24 @@ def ingest_available(spark: SparkSession, source: str, bronze_path: str, *,
                     checkpoint_location(spark, "bronze_ingest", checkpoint))
             .trigger(availableNow=True)
             .start(bronze_path))
+
+
+def ingest_runs(spark: SparkSession, source: str, bronze_path: str, *,
+                schema: str = S.RAW_DDL, checkpoint: str | None = None,
+                files_per_run: int = 1000, reports: list[BronzeReport] | None = None,
+                **options) -> StreamingQuery:
+    """Run bronze over what has arrived in ``source``, ``files_per_run`` files at a
+    time, then stop; ``options`` are those of ``run_bronze``.
+
+    A lot that was cut short is delivered again whole, and the run then appends what
+    is missing of it. ``reports`` collects what the runs tell.
+    """
+    def lot(plays: DataFrame, _: int) -> None:
+        report = run_bronze(plays, bronze_path, **options)
+        if reports is not None:
+            reports.append(report)
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_run)
+    return (stream.parquet(source).writeStream.foreachBatch(lot)
+            .option("checkpointLocation", checkpoint_location(spark, "bronze_runs", checkpoint))
+            .trigger(availableNow=True).start())

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from gridstats import schema as S
@@ -77,3 +78,38 @@ def test_players_can_be_selected_by_other_columns(spark, sf_dir, tmp_path):
         schema=f"{S.RAW_DDL}, pid string, rid string"))
     assert read_table(spark, bronze).count() == new_plays(raw).where(
         "game_id IS NOT NULL AND play_id IS NOT NULL").count() > 0
+
+
+def test_lots_of_files_become_bronze_runs(spark, sf_dir, tmp_path, monkeypatch):
+    from gridstats.plans import runs
+    from gridstats.streaming.ingest import ingest_runs
+
+    source, bronze = str(tmp_path / "source"), str(tmp_path / "bronze")
+    raw = plays_from_lineitem(spark, sf_dir, [1996, 1997]).selectExpr(
+        *[f"cast(`{c}` AS {t}) AS `{c}`" for c, t in S.RAW_TYPES.items()])
+
+    def arrived(**options):
+        reports = []
+        query = ingest_runs(spark, source, bronze, checkpoint=str(tmp_path / "state"),
+                            reports=reports, season_in_key=True, **options)
+        query.awaitTermination()
+        return [r.n_plays for r in reports]
+
+    raw.where("season = 1996").coalesce(1).write.mode("append").parquet(source)
+    (first,) = arrived()
+    assert first > 0
+    # A batch run and the stream may feed the same table.
+    runs.run_bronze(raw.where("season = 1997 AND week < 6"), bronze, season_in_key=True)
+    raw.coalesce(1).write.mode("append").parquet(source)
+
+    def dies(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "append_once", dies)
+        with pytest.raises(StreamingQueryException, match="lost"):
+            arrived()
+    assert arrived()[0] > 0
+    stored = read_table(spark, bronze)
+    keys = stored.select(*S.player_key(stored.columns))
+    assert keys.distinct().count() == keys.count() == new_plays(raw).count()
