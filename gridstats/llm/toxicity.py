@@ -177,14 +177,15 @@ def evidence(text: Column, model) -> Column:
 def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id",
           label: str = "toxic", rows_per_class: int = ROWS_PER_CLASS) -> Model:
     """The model fitted on at most ``rows_per_class`` labelled rows of each class,
-    the first by a hash of the key, whole texts; NULL labels and keys are left out.
+    the first by a hash of the key, whole texts; NULL labels and keys are left out, and
+    a key with both labels has label 1.
 
     Without labelled rows of both classes every score is near 1 if all labels are 1,
     else near 0.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where(
-        "k is not null and y in (0, 1)").dropDuplicates(["k"])
+        "k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(totals) < 2:
         return Model({}, {}, 0.0, 30.0 if totals.get(1) else -30.0)
