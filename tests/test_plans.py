@@ -12,6 +12,7 @@ from gridstats.plans.performance import qb_performance
 from gridstats.plans.runs import run_bronze, run_silver
 from gridstats.plans.splits import SPLIT_TABLES, build
 from gridstats.registry.spark_queries import QUERIES, TEAM
+from gridstats.plans.layers import new_plays
 from gridstats.sources.lineitem_plays import plays_from_lineitem
 from gridstats.sources.tables import read_table
 
@@ -77,8 +78,11 @@ def test_bronze_and_silver_deduplication_share_one_shuffle(plans):
     assert len(exchanges) == 1
 
 
-def test_scans_read_only_what_is_used(plans):
-    lineitem = re.search(r"FileScan parquet \[(l_[^\]]*)\]", plans["home_away_counts"]).group(1)
+def test_scans_read_only_what_is_used(spark, sf_dir):
+    """Where arrivals are declared unique; ties are otherwise broken by all columns."""
+    plays = new_plays(plays_from_lineitem(spark, sf_dir), unique_arrival=True)
+    plan = plan_of(plays.groupBy(S.PLAYER, "home_team").count())
+    lineitem = re.search(r"FileScan parquet \[(l_[^\]]*)\]", plan).group(1)
     columns = {c.split("#")[0] for c in lineitem.split(",")}
     assert columns == {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                        "l_returnflag", "l_shipdate"}
