@@ -1,0 +1,23 @@
+"""The decontamination query on whole tables against every pair of document and item."""
+
+from gridstats.llm import decontam as D
+from gridstats.llm import queries as Q
+
+
+def test_query_finds_the_pairs_that_comparing_all_finds(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
+    words = D.Words()
+    texts = {r["doc_id"]: words((r["text"] or "").split()) for r in docs}
+    wanted = set()
+    for item in items:
+        hashes = words((item["text"] or "").split())
+        allowed, known = int(D.MAX_EDIT_SHARE * len(hashes)), set(hashes.tolist())
+        for doc_id, text in texts.items():
+            # A text that lacks more words of the item than edits are allowed is too far.
+            if len(hashes) and len(known - set(text.tolist())) <= allowed \
+                    and D.best_match(hashes, text)[0] <= allowed:
+                wanted.add((doc_id, item["item_id"]))
+    found = Q.op8_decontamination(spark, sf_dir).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == wanted and len(wanted) >= 3
+    assert all(r["distance"] <= int(D.MAX_EDIT_SHARE * r["item_words"]) for r in found)
