@@ -29,7 +29,7 @@ from gridstats.llm.shared import new_path, ship_package, spread, stored, text_of
 CHUNK_IDS = 1 << 16
 LEVEL = 3
 END = b"PLANES01"
-CACHED_PIECES = 500_000  # different pieces that a worker keeps the ids of
+CACHED_PIECES = 700_000  # different pieces that a worker keeps the ids of
 WORDS_AT_ONCE = 1000       # words that go through the library as one text
 CHARS_AT_ONCE = 1 << 20    # text that is cut into pieces at a time
 FILE_IDS = 64 << 20        # ids after which a task starts a new file
