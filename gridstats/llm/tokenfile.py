@@ -17,6 +17,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from gridstats.llm.shared import new_path, ship_package, spread, stored, text_of
 CHUNK_IDS = 1 << 16
 LEVEL = 3
 END = b"PLANES01"
-CACHED_PIECES = 700_000  # different pieces that a worker keeps the ids of
+CACHED_PIECES = 690_000  # different pieces that a worker keeps the ids of
 WORDS_AT_ONCE = 1000       # words that go through the library as one text
 CHARS_AT_ONCE = 1 << 20    # text that is cut into pieces at a time
 FILE_IDS = 64 << 20        # ids after which a task starts a new file
@@ -206,8 +207,9 @@ class Encoder:
         return ids, begin
 
     def _learn(self, pieces: set[str]) -> None:
-        words = [p for p in pieces if _WORD.fullmatch(p)]
-        others = [p for p in pieces if not _WORD.fullmatch(p)]
+        words, others = [], []
+        for p in pieces:
+            (words if _WORD.fullmatch(p) else others).append(p)
         ids, begin = self._encode_words(words)
         found = self._encode(others)
         more = np.cumsum([0, *map(len, found)]) + len(ids)
@@ -231,8 +233,8 @@ class Encoder:
             new = set().union(*cut)
         if new:
             self._learn(new)
-        find = self.places.__getitem__
-        at = np.fromiter((find(p) for c in cut for p in c), np.int64, sum(map(len, cut)))
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(cut)), np.int64,
+                         sum(map(len, cut)))
         low, length = self.starts[at], self.starts[at + 1] - self.starts[at]
         ends = np.concatenate(([0], np.cumsum(length)))
         ids = self.flat[np.arange(ends[-1]) + np.repeat(low - ends[:-1], length)]
