@@ -22,25 +22,26 @@ def _keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def _content_order(df: DataFrame) -> Column:
+def _content_order(columns: Sequence[str]) -> Column:
     """A repeatable order among rows that nothing else tells apart.
 
     The hash passes over NULLs, so where they stand is hashed too. That two rows
     of one play differ and still share all 64 bits is accepted.
     """
-    return F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns])
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
 
 
 def keep_any(df: DataFrame, keys: Sequence[str], tie_break: Sequence[Column] | None = None,
-             unique_arrival: bool = False) -> DataFrame:
+             unique_arrival: bool = False, contents: Sequence[str] | None = None) -> DataFrame:
     """One row per key. Any row would do, but a rerun must choose the same one.
 
     ``unique_arrival`` declares that ``tie_break`` leaves no ties within a key.
+    ``contents`` are the columns that break ties, all unless given.
     """
     if tie_break is None:
         tie_break = [F.col(INGEST_SEQ).asc()] if INGEST_SEQ in df.columns else []
     if not (unique_arrival and tie_break):
-        tie_break = [*tie_break, _content_order(df)]
+        tie_break = [*tie_break, _content_order(df.columns if contents is None else contents)]
     return _keep_one(df, keys, tie_break)
 
 
@@ -54,7 +55,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], arrival: Sequence[str] | None
     if arrival is None:
         arrival = [c for c in (BRONZE_LOADED_AT, INGEST_SEQ) if c in df.columns]
     order = [F.col(c).desc_nulls_last() for c in arrival]
-    return _keep_one(df, keys, order if unique_arrival else [*order, _content_order(df)])
+    return _keep_one(df, keys, order if unique_arrival else [*order, _content_order(df.columns)])
 
 
 def recorded_keys(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:

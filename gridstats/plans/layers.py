@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -19,7 +19,9 @@ def new_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
               player: str | None = None, players: Iterable[str] | None = None,
               passer: str = S.PASSER, rusher: str = S.RUSHER,
               season_in_key: bool = False, corrections: bool = False,
-              unique_arrival: bool = False) -> DataFrame:
+              unique_arrival: bool = False, source: Sequence[str] = (),
+              rebuild: Callable[[DataFrame, Iterable[str]], DataFrame] | None = None
+              ) -> DataFrame:
     """Distinct plays of the wanted players that ``recorded`` does not hold.
 
     ``player`` selects one player and leaves the rows without a player column;
@@ -29,6 +31,11 @@ def new_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
     get a digest of their contents, and recorded plays that now come with other
     contents are plays to add, too. ``unique_arrival``
     declares that copies of a play differ in ``ingest_seq``.
+
+    Where plays are computed from fewer columns, ``raw`` may hold those beside them as
+    ``source``: copies are told apart by the plays as ever, but only the key and
+    ``source`` are sorted and shuffled, and ``rebuild`` computes the plays kept once
+    more. It gets those columns and the names of those to keep beside the plays.
     """
     if player is not None:
         chosen = B.plays_of(raw, player, passer=passer, rusher=rusher)
@@ -37,7 +44,11 @@ def new_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
     keys = S.player_key(chosen.columns)
     if season_in_key:
         keys = [*keys, "season"]
-    distinct = keep_any(chosen, keys, unique_arrival=unique_arrival)
+    distinct = keep_any(chosen, keys, unique_arrival=unique_arrival,
+                        contents=[c for c in chosen.columns if c not in source])
+    if rebuild is not None:
+        beside = [S.PLAYER] if S.PLAYER in keys else []
+        distinct = rebuild(distinct.select(*keys, *source), beside)
     if corrections:
         distinct = B.with_digest(distinct)
     if recorded is None:
@@ -53,11 +64,14 @@ def bronze_plays(raw: DataFrame, recorded: DataFrame | None = None, *,
 
 
 def silver_plays(bronze: DataFrame, loaded_at: datetime | None = None, *,
-                 season_in_key: bool = False, unique_arrival: bool = False) -> DataFrame:
+                 season_in_key: bool = False, unique_arrival: bool = False,
+                 distinct: bool = False) -> DataFrame:
     """The silver table for a bronze table.
 
     Deduplication follows the cast, so keys that do not fit their type collapse
-    into one NULL key, or one for each season with ``season_in_key``.
+    into one NULL key, or one for each season with ``season_in_key``. ``distinct``
+    declares that no two rows of ``bronze`` share a key: where the cast leaves the
+    key's types as they are, nothing is left to deduplicate then.
     """
     require_columns(bronze, S.PLAY_COLUMNS)
     lineage = [c for c in (S.PLAYER, S.BRONZE_LOADED_AT, S.INGEST_SEQ)
@@ -65,5 +79,7 @@ def silver_plays(bronze: DataFrame, loaded_at: datetime | None = None, *,
     typed = V.enforce_schema(bronze.select(*lineage, *S.PLAY_COLUMNS), S.CAST_TYPES)
     renamed = V.rename_columns(typed)
     keys = S.player_key(renamed.columns) + (["season"] if season_in_key else [])
-    latest = keep_last(renamed, keys, unique_arrival=unique_arrival)
+    same_types = all(bronze.schema[k].dataType == renamed.schema[k].dataType for k in keys)
+    latest = renamed if distinct and same_types else keep_last(
+        renamed, keys, unique_arrival=unique_arrival)
     return V.add_features(latest.drop(S.BRONZE_LOADED_AT, S.INGEST_SEQ), loaded_at)

@@ -29,7 +29,8 @@ from gridstats.plans.form import (
 from gridstats.plans.layers import bronze_plays, new_plays, silver_plays
 from gridstats.plans.performance import qb_performance
 from gridstats.plans.splits import SPLIT_TABLES, build
-from gridstats.sources.lineitem_plays import plays_from_lineitem
+from gridstats.session import keep_compiled
+from gridstats.sources.lineitem_plays import SOURCE, plays_from_lineitem, plays_of_lines
 from gridstats.sources.scratch import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,8 +43,19 @@ FIRST_LOAD = datetime(2026, 1, 1)
 SECOND_LOAD = datetime(2026, 1, 2)
 
 
+def _distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New plays of all lines; plays are wide, so their lines are shuffled instead."""
+    keep_compiled(spark)
+    return new_plays(plays_from_lineitem(spark, sf_dir, with_source=True),
+                     source=SOURCE, rebuild=plays_of_lines)
+
+
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.clean(_distinct(spark, sf_dir), FIRST_LOAD)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_plays(bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD))
+    return silver_plays(_bronze(spark, sf_dir), distinct=True)
 
 
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +64,7 @@ def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct plays under their silver names, nulls as they came."""
-    return V.rename_columns(new_plays(plays_from_lineitem(spark, sf_dir)))
+    return V.rename_columns(_distinct(spark, sf_dir))
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -112,13 +124,13 @@ def bronze_clean(spark, sf_dir):
 
 
 def bronze_null_report(spark, sf_dir):
-    return null_report(new_plays(plays_from_lineitem(spark, sf_dir)))
+    return null_report(_distinct(spark, sf_dir))
 
 
 def bronze_plays_table(spark, sf_dir):
     """Every column of bronze but its load stamp, under the types it is stored in;
     the date is shown as text."""
-    bronze = bronze_plays(plays_from_lineitem(spark, sf_dir), loaded_at=FIRST_LOAD)
+    bronze = _bronze(spark, sf_dir)
     return B.as_declared(bronze).drop(S.BRONZE_LOADED_AT).withColumn(
         "game_date", F.col("game_date").cast("string"))
 

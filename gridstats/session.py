@@ -25,6 +25,16 @@ SETTINGS = {
 }
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def keep_compiled(spark: SparkSession) -> None:
+    """The limit on generated methods for a session that was built elsewhere. One that
+    has a lower limit keeps it."""
+    if int(spark.conf.get(METHOD_LIMIT)) > int(SETTINGS[METHOD_LIMIT]):
+        spark.conf.set(METHOD_LIMIT, SETTINGS[METHOD_LIMIT])
+
+
 def build_session(app_name: str = "gridstats", master: str | None = None,
                   shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """``shuffle_partitions``: shuffled bytes of the largest layer over 128 MB, and at

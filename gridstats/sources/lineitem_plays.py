@@ -123,9 +123,27 @@ def _within(season: int, date_type: DataType) -> Column:
             & (shipped < F.lit(f"{season + 1}-01-01").cast(date_type)))
 
 
+# What a play is computed from, and thus all of it that needs to be moved.
+SOURCE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
+          "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "s_name")
+
+
+def plays_of_lines(lines: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Raw plays of order lines with their supplier's name. Play columns that ``lines``
+    has already are taken from there; ``keep`` names columns to keep beside the plays."""
+    known = set(lines.columns)
+    for stage in (_LINE, _KIND, _OUTCOME):
+        lines = lines.selectExpr("*", *_named(stage))
+    return lines.selectExpr(
+        *_named({name: f"`{name}`" if name in known else e for name, e in _PLAY.items()}),
+        *[f"`{name}`" for name in keep])
+
+
 def plays_from_lineitem(spark: SparkSession, sf_dir: str,
-                        seasons: Iterable[int] | None = None) -> DataFrame:
-    """Raw plays, optionally of some seasons only (a range filter on the scan).
+                        seasons: Iterable[int] | None = None,
+                        with_source: bool = False) -> DataFrame:
+    """Raw plays, optionally of some seasons only (a range filter on the scan), and
+    optionally with the columns they were computed from, see ``plays_of_lines``.
 
     The player join is left to Spark: broadcast while the supplier table is
     below the checked threshold, otherwise a shuffle join whose oversized
@@ -138,6 +156,4 @@ def plays_from_lineitem(spark: SparkSession, sf_dir: str,
             _within(s, date_type) for s in sorted(set(seasons))]))
     players = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name")
     joined = lines.join(players, F.col("l_suppkey") == F.col("s_suppkey"))
-    for stage in (_LINE, _KIND, _OUTCOME):
-        joined = joined.selectExpr("*", *_named(stage))
-    return joined.selectExpr(*_named(_PLAY))
+    return plays_of_lines(joined, SOURCE if with_source else ())
