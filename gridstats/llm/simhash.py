@@ -33,7 +33,7 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 FANOUT = 16                # members of a node
-SEARCH_PAIRS = 1 << 20     # query-node pairs looked at together
+SEARCH_PAIRS = 1 << 17     # query-node pairs looked at together
 HOT_GROUP = 20_000         # fingerprints under a key from which it gets more levels
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
