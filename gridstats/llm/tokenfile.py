@@ -17,7 +17,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -31,8 +31,9 @@ CHUNK_IDS = 1 << 16
 LEVEL = 3
 END = b"PLANES01"
 CACHED_PIECES = 690_000  # different pieces that a worker keeps the ids of
+NEW_PIECES = 10_000        # room left for the new ones among the pieces cut at a time
 WORDS_AT_ONCE = 1000       # words that go through the library as one text
-CHARS_AT_ONCE = 1 << 20    # text that is cut into pieces at a time
+CHARS_AT_ONCE = 1 << 18    # text that is cut into pieces at a time
 FILE_IDS = 64 << 20        # ids after which a task starts a new file
 
 INDEX_SCHEMA = "path string, part int, file int, ids long"
@@ -152,15 +153,37 @@ class PlaneReader:
 _LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _SPACES = "\t-\r \u0085\u00a0"
-_PIECE = re.compile(
-    f" ?[{_LETTERS}]+| ?[{_NUMBERS}]+|'s|'t|'re|'ve|'m|'ll|'d|"
-    f" ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
+
+
+def _piece(letters: str) -> re.Pattern:
+    return re.compile(
+        f" ?[{letters}]+| ?[{_NUMBERS}]+|'s|'t|'re|'ve|'m|'ll|'d|"
+        f" ?[^{_SPACES}{letters}{_NUMBERS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
+
+
+_PIECE = _piece(_LETTERS)
+# Sets of characters below U+0100 are matched faster; most texts have no others.
+_LATIN_PIECE = _piece(_LETTERS.replace("\u024f", "\u00ff"))
+_HIGH = re.compile("[^\0-\u00ff]")
 _WORD = re.compile(f" [{_LETTERS}]+")
 _BEYOND = re.compile("[^\0-\u024f]")
 # A blank between letters always starts a piece: a text may be cut there.
 _CUT = re.compile(f"(?<=[{_LETTERS}]) (?=[{_LETTERS}])")
 
 
+class _Places(dict):
+    """Numbers of pieces, from 0 in the order of their first lookup; ``new`` lists those
+    that were given one."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = place = len(self)
+        self.new.append(piece)
+        return place
+
+
 class Encoder:
     """The library's ids of texts, by pieces that it has encoded before.
 
@@ -189,9 +212,26 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places = _Places()
         self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
-        self.starts = np.zeros(1 << 14, np.int64)         # of a piece's ids in ``flat``
+        # Where a piece's ids begin in ``flat``, and how many they are.
+        self.starts, self.lengths = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+        self.again = np.zeros(1 << 14, bool)      # whether a piece came back in a later lot
+
+    def _drop_rare(self) -> None:
+        """Forget the pieces that came in one lot only, and of the others what exceeds half
+        the room. Most pieces of a corpus are rare; the frequent ones stay learned."""
+        n = len(self.places)
+        kept = np.flatnonzero(self.again[:n])[:CACHED_PIECES // 2]
+        stay = np.zeros(n, bool)
+        stay[kept] = True
+        pieces = list(compress(self.places, stay.tolist()))
+        low, length = self.starts[kept], self.lengths[kept]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(low - ends[:-1], length)]
+        self._forget()
+        self.places.update(zip(pieces, range(len(pieces))))
+        self._append(ids, np.arange(len(pieces)), ends)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in
@@ -206,36 +246,44 @@ class Encoder:
             raise ValueError("words do not start where the vocabulary says")
         return ids, begin
 
-    def _learn(self, pieces: set[str]) -> None:
-        words, others = [], []
-        for p in pieces:
-            (words if _WORD.fullmatch(p) else others).append(p)
-        ids, begin = self._encode_words(words)
-        found = self._encode(others)
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that have the last places."""
+        first = len(self.places) - len(pieces)
+        plain = np.fromiter(map(bool, map(_WORD.fullmatch, pieces)), bool, len(pieces))
+        ids, begin = self._encode_words(list(compress(pieces, plain)))
+        found = self._encode(list(compress(pieces, ~plain)))
         more = np.cumsum([0, *map(len, found)]) + len(ids)
         ids = np.concatenate([ids, *found])
-        n = len(self.places)
-        starts = np.concatenate((begin, more)) + self.used     # the last one: the end
+        self._append(ids, first + np.flatnonzero(plain), np.append(begin, more[0]),
+                     first + np.flatnonzero(~plain), more)
+
+    def _append(self, ids: np.ndarray, *held: np.ndarray) -> None:
+        """Ids at the end of ``flat``; ``held`` alternates places and where their ids begin,
+        with the end of the last."""
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while len(self.starts) < n + len(starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        while len(self.starts) < len(self.places):
+            for name in ("starts", "lengths", "again"):
+                grown = getattr(self, name)
+                setattr(self, name, np.concatenate((grown, np.zeros_like(grown))))
         self.flat[self.used:self.used + len(ids)] = ids
-        self.starts[n:n + len(starts)] = starts
+        for places, at in zip(held[::2], held[1::2]):
+            self.starts[places] = self.used + at[:-1]
+            self.lengths[places] = np.diff(at)
         self.used += len(ids)
-        self.places.update(zip(words + others, range(n, n + len(pieces))))
 
     def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [_PIECE.findall(t) for t in texts]
-        new = set().union(*cut).difference(self.places)
-        if len(self.places) + len(new) > CACHED_PIECES:
-            self._forget()
-            new = set().union(*cut)
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(cut)), np.int64,
-                         sum(map(len, cut)))
-        low, length = self.starts[at], self.starts[at + 1] - self.starts[at]
+        cut = [(_PIECE if _HIGH.search(t) else _LATIN_PIECE).findall(t) for t in texts]
+        count = sum(map(len, cut))
+        if len(self.places) + min(count, NEW_PIECES) > CACHED_PIECES:
+            self._drop_rare()
+        known = len(self.places)
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(cut)), np.int32, count)
+        self.again[at[at < known]] = True
+        if self.places.new:
+            self._learn(self.places.new)
+            self.places.new = []
+        low, length = self.starts[at], self.lengths[at]
         ends = np.concatenate(([0], np.cumsum(length)))
         ids = self.flat[np.arange(ends[-1]) + np.repeat(low - ends[:-1], length)]
         return np.split(ids, ends[np.cumsum([len(c) for c in cut])[:-1]])

@@ -83,3 +83,23 @@ def test_long_texts_are_cut_where_pieces_start_and_tables_are_bounded(monkeypatc
     assert got[2] == wanted and got[:2] == got[3:]
     assert len(encoder.places) <= 50 + 200
     assert collections.Counter(map(len, got))[len(wanted)] == 1
+
+
+def test_pieces_that_come_back_are_not_encoded_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(tokenfile, "CHARS_AT_ONCE", 300)
+    monkeypatch.setattr(tokenfile, "CACHED_PIECES", 400)
+    monkeypatch.setattr(tokenfile, "NEW_PIECES", 100, raising=False)
+    r = np.random.default_rng(2)
+    rare = ["".join(map(chr, r.integers(97, 123, 9))) for _ in range(3000)]
+    texts = [" the cat " + " ".join(rare[k:k + 5]) + "!" for k in range(0, 3000, 5)]
+    encoder, learned = tokenfile.Encoder(path), collections.Counter()
+    learn = encoder._learn
+    encoder._learn = lambda pieces: learned.update(pieces) or learn(pieces)
+    got = [ids.tolist() for ids in encoder.batch(texts)]
+    library = Tokenizer.from_file(path)
+    assert got == [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert len(encoder.places) <= 500
+    assert learned[" the"] == learned[" cat"] == learned["!"] == 1
