@@ -292,12 +292,19 @@ RATES_SEEN = {
 }
 
 
+# Columns of silver that none of these tables reads.
+NOT_IN_RATES = (
+    "play_id", "game_date", "drive", "yard_line", "play_description", "play_type",
+    "qb_epa", "air_epa", "yac_epa", "xyac_epa", "td_team", "td_player_name",
+    "fumble_out_of_bounds", "own_score", "opp_score", "is_success", "is_redzone",
+    "silver_loaded_at")
+
+
 def gold_nonfinite_counts(spark, sf_dir):
     """NaN, infinities and NULLs in the rates of five gold tables, as they are stored.
 
     The tables group by different keys; silver is deduplicated and stored once for them."""
-    silver = stored(_silver(spark, sf_dir).drop("play_description", "silver_loaded_at"),
-                    "nonfinite-silver")
+    silver = stored(_silver(spark, sf_dir).drop(*NOT_IN_RATES), "nonfinite-silver")
 
     def counts(name: str, rates: tuple[str, ...]) -> DataFrame:
         table = (qb_performance(silver, team=TEAM) if name == "qb_performance"

@@ -82,3 +82,23 @@ def test_generated_methods_stay_small_in_any_session(spark, sf_dir):
     own.conf.set(METHOD_LIMIT, "4000")
     R.QUERIES["silver_plays"](own, sf_dir)
     assert own.conf.get(METHOD_LIMIT) == "4000"
+
+
+def test_counts_of_rates_store_no_column_that_nobody_reads(spark, lines_dir, monkeypatch):
+    held = []
+    monkeypatch.setattr(R, "stored", lambda df, name: held.append(df.columns) or df)
+    counts = R.gold_nonfinite_counts(spark, lines_dir)
+    (columns,) = held
+    read = set()
+    pending = [counts._jdf.queryExecution().optimizedPlan()]
+    while pending:
+        node = pending.pop()
+        if node.nodeName() == "Aggregate":
+            read |= {a.name() for a in _items(node.references().toSeq())}
+        pending.extend(_items(node.children()))
+    assert {"down", "pass_length", "air_yards", S.PLAYER} <= read & set(columns)
+    assert not {"play_id", "yard_line", "play_description", "td_player_name"} & set(columns)
+
+
+def _items(seq):
+    return [seq.apply(i) for i in range(seq.size())]
