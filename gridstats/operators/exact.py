@@ -38,14 +38,31 @@ def merged(column: str) -> dict[str, str]:
     return {name: f"sum({name})" for name in partial(column)}
 
 
+# Sums up to these, without units of 2^-63, come to less than 2^63 units of 2^-42.
+SMALL = (2 ** 19, 2 ** 39, 2 ** 61)
+
+
+def _units(parts: list[str], number: str, literal: str) -> str:
+    """The sum in units of the last of these levels, and as a double."""
+    units = " + ".join(f"{number.format(part)} * {STEP ** (len(parts) - 1 - i)}{literal}"
+                       for i, part in enumerate(parts))
+    return f"CAST({units} AS DOUBLE) / {float(STEP ** (len(parts) - 1))!r}D"
+
+
 def value(aggregates: dict[str, str]) -> str:
-    """SQL for the sum as the nearest double; NULL if there was nothing to add."""
+    """SQL for the sum as the nearest double; NULL if there was nothing to add.
+
+    Decimals are slow. Where the units fit 64 bits these are rounded to a double, which
+    gives the same one.
+    """
     *whole, wild = aggregates.values()
-    units = " + ".join(
-        f"CAST({part} AS DECIMAL(20,0)) * {STEP ** (len(whole) - 1 - i)}BD"
-        for i, part in enumerate(whole))
-    exact = f"CAST({units} AS DOUBLE) / {float(STEP ** (len(whole) - 1))!r}D"
-    return f"coalesce({exact} + {wild}, {exact}, {wild})"
+    *upper, last = whole
+    exact = _units(whole, "CAST({} AS DECIMAL(20,0))", "BD")
+    small = " AND ".join(f"{part} BETWEEN -{limit}L AND {limit}L"
+                         for part, limit in zip(upper, SMALL, strict=True))
+    return (f"CASE WHEN {wild} IS NULL AND {last} = 0L AND {small}"
+            f" THEN {_units(upper, '{}', 'L')}"
+            f" ELSE coalesce({exact} + {wild}, {exact}, {wild}) END")
 
 
 def exact_sum(column: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,7 @@ OUTPUT = (
 # ---------------------------------------------------------------------------
 
 
-def _game_totals(plays: DataFrame, keys: list[str]) -> DataFrame:
+def _game_totals(plays: DataFrame, keys: list[str], gather: Sequence[str]) -> DataFrame:
     """Totals per key in two steps.
 
     The game context is text, and a text buffer (``min`` of a string) makes
@@ -50,6 +51,8 @@ def _game_totals(plays: DataFrame, keys: list[str]) -> DataFrame:
         *[total(c) for c in SUMS],
         *parts(sums=(), means=MEANS, officials=()),
     )
+    if gather:
+        per_context = per_context.repartition(*gather)
     return per_context.groupBy(*keys).agg(
         *[dependent(c) for c in CONTEXT],
         *[total(c) for c in OFFICIAL_SUMS + SUMS],
@@ -58,7 +61,7 @@ def _game_totals(plays: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def qb_performance(plays: DataFrame, *, team: str | Column, player: str | None = None,
-                   loaded_at: datetime | None = None) -> DataFrame:
+                   loaded_at: datetime | None = None, gather: Sequence[str] = ()) -> DataFrame:
     """Game-by-game performance.
 
     Plays without a ``player_name`` column belong to the one ``player`` named;
@@ -66,9 +69,16 @@ def qb_performance(plays: DataFrame, *, team: str | Column, player: str | None =
     count as such: a name, or a column over the game's teams.
 
     Games without official attempts have NaN rates; nothing replaces them here.
+
+    ``gather`` names keys of a game, the player say, for a caller that goes on with windows
+    over all their games: the games, about one row each by then, are moved once by those
+    columns, and neither the fold of a game nor such a window moves them again.
     """
     by_player = PLAYER in plays.columns
-    totals = _game_totals(plays, [PLAYER, "game_id"] if by_player else ["game_id"])
+    keys = [PLAYER, "game_id"] if by_player else ["game_id"]
+    if not set(gather) <= set(keys):
+        raise ValueError(f"rows of a game can be gathered by {keys} only, not by {list(gather)}")
+    totals = _game_totals(plays, keys, gather)
     team_column = F.lit(team) if isinstance(team, str) else team
     derived = {
         "team": team_column,

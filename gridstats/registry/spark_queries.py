@@ -62,6 +62,11 @@ def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qb_performance(_silver(spark, sf_dir), team=TEAM)
 
 
+def _games_of_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The performance table with a player's games together, for windows over them."""
+    return qb_performance(_silver(spark, sf_dir), team=TEAM, gather=(S.PLAYER,))
+
+
 def _unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct plays under their silver names, nulls as they came."""
     return V.rename_columns(_distinct(spark, sf_dir))
@@ -235,7 +240,7 @@ def rolling4(spark, sf_dir):
                "passer_rating", "yards_per_attempt", "interception", "rushing_yards",
                "rush_touchdown", "sack", "fumble")
     outputs = {m: f"{m}_rolling4" for m in metrics}
-    rolled = rolling_mean(_performance(spark, sf_dir), outputs, ROLLING_ROWS,
+    rolled = rolling_mean(_games_of_players(spark, sf_dir), outputs, ROLLING_ROWS,
                           partition_by=SEASON_OF_PLAYER, order_by=GAME_ORDER)
     return finite_or_null(rolled.select(
         *SEASON_OF_PLAYER, *GAME_ORDER, *outputs.values()))
@@ -244,7 +249,7 @@ def rolling4(spark, sf_dir):
 def cumulative(spark, sf_dir):
     """Running totals where games without an attempt have no passing figures."""
     threw = F.col("pass_attempt") > 0
-    games = _performance(spark, sf_dir).withColumns({
+    games = _games_of_players(spark, sf_dir).withColumns({
         c: F.when(threw, F.col(c)) for c in ("passing_yards", "complete_pass")})
     running = running_total(games, CUMULATIVE,
                             partition_by=SEASON_OF_PLAYER, order_by=GAME_ORDER)
@@ -268,11 +273,11 @@ def qb_performance_table(spark, sf_dir):
 
 
 def game_momentum_table(spark, sf_dir):
-    return _stored(game_momentum(_performance(spark, sf_dir)))
+    return _stored(game_momentum(_games_of_players(spark, sf_dir)))
 
 
 def season_progression_table(spark, sf_dir):
-    return _stored(season_progression(_performance(spark, sf_dir)))
+    return _stored(season_progression(_games_of_players(spark, sf_dir)))
 
 
 def _split_query(name: str) -> Query:
